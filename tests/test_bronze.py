@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+
+import pytest
+
+import coursetide as ct
+from coursetide.schemas import BRONZE, ENVELOPE
+
+from .rows import event, record, records_of
+
+
+def parse(spark, *values):
+    raw = records_of(spark, [record(value, offset=n) for n, value in enumerate(values)])
+    return ct.parse_events(raw).orderBy("offset").collect()
+
+
+def test_columns_and_types(spark):
+    parsed = ct.parse_events(records_of(spark, [record(event())]))
+    assert [(f.name, f.dataType) for f in parsed.schema] == [(f.name, f.dataType) for f in BRONZE]
+
+
+def test_event_is_typed(spark):
+    [row] = parse(spark, event(kind="quiz_submitted", payload={"quiz_id": "q1", "score": 81.5, "passed": True}))
+    assert (row.event_id, row.event_type, row.timestamp_ms) == ("e1", "quiz_submitted", 1735812000000)
+    assert (row.payload.quiz_id, row.payload.score, row.payload.passed) == ("q1", 81.5, True)
+    assert row.payload.video_id is None
+    assert row.event_time == datetime(2025, 1, 2, 10) and row.event_date == date(2025, 1, 2)
+    assert row.ingest_time is not None
+
+
+@pytest.mark.parametrize("value", ["garbage", None, "", "[1, 2", "12", '"text"'])
+def test_unreadable_record_is_kept(spark, value):
+    [row] = parse(spark, value)
+    assert all(row[name] is None for name in ENVELOPE.names)
+    assert row.event_time is None and row.event_date is None
+    assert (row.partition, row.offset) == (0, 0)
+
+
+def test_missing_fields_are_null(spark):
+    [row] = parse(spark, {"event_id": "3"})
+    assert row.event_id == "3" and row.event_type is None and row.payload is None
+
+
+def test_wrong_type_nulls_only_its_field(spark):
+    scored, watched = parse(
+        spark,
+        event(payload={"quiz_id": "q1", "score": "oops", "extra": 1}),
+        event(payload={"video_id": "v1", "watch_seconds": 1.5}, unknown={"a": 1}),
+    )
+    assert scored.event_id == "e1" and scored.payload.quiz_id == "q1" and scored.payload.score is None
+    assert watched.payload.video_id == "v1" and watched.payload.watch_seconds is None
+
+
+def test_day_is_that_of_the_instant_in_utc(spark):
+    [row] = parse(spark, event(iso="2025-01-02T23:30:00-02:00"))
+    assert row.event_date == date(2025, 1, 3)
+
+
+def test_bad_time_is_null_not_an_error(spark):
+    [row] = parse(spark, event(iso="nope"))
+    assert row.timestamp_iso == "nope" and row.event_time is None and row.event_date is None
+
+
+def test_repeated_ids_stay(spark):
+    assert len(parse(spark, event("same"), event("same"))) == 2
+
+
+def test_decoded_key(spark):
+    [row] = ct.decode_records(records_of(spark, [record("m", key="user-7")])).collect()
+    assert (row.message_key, row.message) == ("user-7", "m")
+
+
+def test_other_session_zone_is_refused(spark):
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    with pytest.raises(ValueError, match="UTC"):
+        ct.parse_events(records_of(other, [record(event())]))

@@ -1,0 +1,162 @@
+from __future__ import annotations
+
+import uuid
+from datetime import date
+
+import pytest
+
+import coursetide as ct
+from coursetide.fixtures import lms_events
+from coursetide.schemas import SILVER
+
+from .conftest import TESTDATA
+from .rows import DAY, bronze_of, bronze_row
+
+NEXT = date(2025, 1, 3)
+VALUES = [name for name in SILVER.names if not name.startswith("processing_")]
+
+
+@pytest.fixture
+def path(tmp_path):
+    return str(tmp_path / "silver")
+
+
+def silver_of(spark, *users_and_days):
+    bronze = bronze_of(spark, [bronze_row("article_viewed", user=u, day=d) for u, d in users_and_days])
+    return ct.user_progress_between(bronze)
+
+
+def stored(spark, path):
+    return sorted((r.event_date, r.user_id) for r in ct.read_silver(spark, path).collect())
+
+
+def values(spark, path):
+    return sorted(map(str, ct.read_silver(spark, path).select(*VALUES).collect()))
+
+
+def test_first_publish_creates_the_table(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY)), path, DAY)
+    table = ct.read_silver(spark, path)
+    assert table.columns == SILVER.names
+    assert stored(spark, path) == [(DAY, "a")]
+
+
+def test_publish_twice_is_publish_once(spark, path):
+    silver = silver_of(spark, ("a", DAY), ("b", DAY))
+    ct.publish(silver, path, DAY)
+    ct.publish(silver, path, DAY)
+    assert stored(spark, path) == [(DAY, "a"), (DAY, "b")]
+
+
+def test_fewer_rows_replace_more(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY), ("b", DAY)), path, DAY)
+    ct.publish(silver_of(spark, ("b", DAY)), path, DAY)
+    assert stored(spark, path) == [(DAY, "b")]
+
+
+def test_no_rows_clear_the_day_and_leave_others(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY)), path, DAY)
+    ct.publish(silver_of(spark, ("a", NEXT)), path, NEXT)
+    ct.publish(silver_of(spark), path, DAY)
+    assert stored(spark, path) == [(NEXT, "a")]
+    ct.publish(silver_of(spark, ("c", DAY)), path, DAY)
+    assert stored(spark, path) == [(DAY, "c"), (NEXT, "a")]
+
+
+def test_no_rows_on_a_new_table(spark, path):
+    ct.publish(silver_of(spark), path, DAY)
+    assert stored(spark, path) == []
+
+
+def test_rows_of_other_days_are_not_written(spark, path):
+    ct.publish(silver_of(spark, ("a", NEXT)), path, NEXT)
+    ct.publish(silver_of(spark, ("x", DAY), ("y", NEXT)), path, DAY)
+    assert stored(spark, path) == [(DAY, "x"), (NEXT, "a")]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_file_count(spark, path, tmp_path, files):
+    users = [(f"u{n}", DAY) for n in range(50)]
+    ct.publish(silver_of(spark, *users), path, DAY, files=files)
+    assert len(list((tmp_path / "silver").glob("event_date=*/*.parquet"))) == files
+    assert len(stored(spark, path)) == 50
+
+
+def test_file_count_per_day_of_a_range(spark, path, tmp_path):
+    users = [(f"u{n}", d) for n in range(50) for d in (DAY, NEXT)]
+    ct.publish_between(silver_of(spark, *users), path, DAY, NEXT, files=1)
+    for day in (DAY, NEXT):
+        assert len(list((tmp_path / "silver" / f"event_date={day}").glob("*.parquet"))) == 1
+
+
+def test_rows_per_file(spark, path, tmp_path):
+    users = [(f"u{n}", DAY) for n in range(50)]
+    ct.publish(silver_of(spark, *users), path, DAY, files=1, rows_per_file=20)
+    assert len(list((tmp_path / "silver").glob("event_date=*/*.parquet"))) == 3
+
+
+def test_backfill_is_day_by_day(spark, tmp_path):
+    bronze = lms_events(spark, str(TESTDATA / "sf0.001"))
+    whole, cut, daily = (str(tmp_path / name) for name in ("whole", "cut", "daily"))
+    ct.backfill(bronze, whole, "2024-01-03", "2024-01-07")
+    ct.backfill(bronze, cut, "2024-01-03", "2024-01-07", days_per_job=2)
+    for n in range(3, 8):
+        ct.publish(ct.user_progress(bronze, date(2024, 1, n)), daily, date(2024, 1, n))
+    assert values(spark, whole) == values(spark, cut) == values(spark, daily)
+    assert ct.read_silver(spark, whole).count() > 0
+
+
+def test_backfill_clears_days_without_events(spark, path):
+    ct.publish(silver_of(spark, ("old", DAY)), path, DAY)
+    ct.publish(silver_of(spark, ("old", date(2025, 1, 9))), path, date(2025, 1, 9))
+    ct.backfill(bronze_of(spark, [bronze_row("article_viewed", user="new", day=NEXT)]), path, DAY, NEXT)
+    assert stored(spark, path) == [(NEXT, "new"), (date(2025, 1, 9), "old")]
+
+
+def test_partition_rows_and_gate(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY), ("b", DAY)), path, DAY)
+    table = ct.read_silver(spark, path)
+    assert [tuple(r) for r in ct.partition_rows(table).collect()] == [(DAY, 2)]
+    assert ct.partition_rows(table, start=NEXT).collect() == []
+    assert ct.partition_rows(table, end=DAY).count() == 1
+    ct.require_partition(table, DAY)
+    with pytest.raises(LookupError, match="2025-01-03"):
+        ct.require_partition(table, NEXT)
+
+
+def test_gate_fails_on_an_emptied_day(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY)), path, DAY)
+    ct.publish(silver_of(spark), path, DAY)
+    with pytest.raises(LookupError):
+        ct.require_partition(ct.read_silver(spark, path), DAY)
+
+
+def test_run_day(spark, path, tmp_path):
+    folder = str(tmp_path / "bronze")
+    bronze = bronze_of(spark, [bronze_row("article_viewed", user=u) for u in ("a", "a", "b")])
+    bronze.write.partitionBy("event_date").parquet(folder)
+    ct.run_day(spark, folder, path, DAY)
+    assert stored(spark, path) == [(DAY, "a"), (DAY, "b")]
+    with pytest.raises(LookupError):
+        ct.run_day(spark, folder, path)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        ct.run_day(spark, str(tmp_path / "nowhere"), path, DAY)
+
+
+def test_read_bronze_with_a_later_column(spark, tmp_path):
+    folder = str(tmp_path / "bronze")
+    bronze = bronze_of(spark, [bronze_row("article_viewed")])
+    bronze.write.partitionBy("event_date").parquet(folder)
+    bronze.selectExpr("*", "'x' AS device").write.mode("append").partitionBy("event_date").parquet(folder)
+    assert "device" not in ct.read_bronze(spark, folder).columns
+    merged = ct.read_bronze(spark, folder, merge_schema=True)
+    assert sorted(str(r.device) for r in merged.collect()) == ["None", "x"]
+
+
+def test_scratch_folder_is_under_the_shared_one(spark):
+    from coursetide.session import scratch_dir
+
+    folder = scratch_dir(spark, "work")
+    assert folder.startswith(spark.conf.get("spark.checkpoint.dir") + "/")
+    assert folder != scratch_dir(spark, "work")
+    assert uuid.UUID(folder.rsplit("-", 1)[1])
