@@ -12,9 +12,22 @@ _ZONE = "spark.sql.session.timeZone"
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Set the session zone to UTC, on which every calendar day in this package rests."""
+_SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
+_BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
+
+
+def prepare(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Set the session zone to UTC, on which every calendar day in this package rests.
+
+    ``shuffle_bytes`` is what the largest shuffle may move. Adaptive execution merges
+    shuffle partitions but does not cut those of an aggregate, so their number is raised
+    until each fits a task.
+    """
     spark.conf.set(_ZONE, "UTC")
+    if shuffle_bytes is not None:
+        needed = -(-shuffle_bytes // _BYTES_PER_SHUFFLE_TASK)
+        if needed > int(spark.conf.get(_SHUFFLE_WIDTH)):
+            spark.conf.set(_SHUFFLE_WIDTH, str(needed))
     return spark
 
 

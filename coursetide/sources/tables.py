@@ -54,16 +54,14 @@ def publish_between(
 ) -> None:
     """Replace every day from ``start`` to ``end`` in one job, days without rows included.
 
-    ``files`` sets the number of files per day; left out, Spark sizes them.
+    ``files`` is the most files a day gets; left out, Spark sizes them.
     """
     start, end = as_day(start), as_day(end)
     in_range = F.col("event_date").between(F.lit(start), F.lit(end))
-    rows = _laid_out(silver.where(in_range), single_day=start == end, files=files)
+    rows = _laid_out(silver.where(in_range), len(_days(start, end)), files)
     if fmt == "delta":
         writer = _day_writer(rows, rows_per_file).format("delta")
-        writer.option(
-            "replaceWhere", f"event_date >= date'{start}' AND event_date <= date'{end}'"
-        ).save(path)
+        writer.option("replaceWhere", _days_predicate(start, end)).save(path)
         return
 
     # Dynamic overwrite swaps in the new files at commit, so a failed job leaves the old
@@ -101,14 +99,12 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataF
     return reader.load(path).select(*schema.names)
 
 
-def _laid_out(rows: DataFrame, single_day: bool, files: int | None) -> DataFrame:
+def _laid_out(rows: DataFrame, days: int, files: int | None) -> DataFrame:
     if files is not None:
-        salt = F.pmod(F.hash("user_id"), F.lit(files))
-        return rows.repartition("event_date", salt) if not single_day else rows.repartition(files)
-    # One day comes out of the aggregate's shuffle in tasks of the right size. Several
-    # days would put a file per day into each task: gather them by day, where adaptive
-    # execution splits days that are too large for one task.
-    return rows if single_day else rows.hint("rebalance", "event_date")
+        return rows.repartition(days * files, "event_date", F.pmod(F.hash("user_id"), F.lit(files)))
+    # Gathers each day, and leaves it to adaptive execution to cut a day into tasks of its
+    # advisory size: the number of files follows the data, not the number of cores.
+    return rows.hint("rebalance", "event_date")
 
 
 def _day_writer(rows: DataFrame, rows_per_file: int | None) -> DataFrameWriter:
@@ -116,6 +112,10 @@ def _day_writer(rows: DataFrame, rows_per_file: int | None) -> DataFrameWriter:
     return writer if rows_per_file is None else writer.option("maxRecordsPerFile", rows_per_file)
 
 
+def _days_predicate(start: date, end: date) -> str:
+    return f"event_date >= date'{start}' AND event_date <= date'{end}'"
+
+
 def _empty_days(spark: SparkSession, path: str, days: list[date]) -> None:
     if not days:
         return

@@ -15,16 +15,23 @@ def ingest(
     fmt: str = "parquet",
     every: str = "30 seconds",
     catch_up: bool = False,
+    gather_days: bool = True,
 ) -> StreamingQuery:
     """Append parsed records to the bronze table, partitioned by day.
 
     Runs a micro-batch ``every`` interval, or with ``catch_up`` works off what is there
     and stops. The checkpoint makes each record arrive once, also over restarts. Late
     records go to their own day.
+
+    Each batch is gathered by day, adaptive execution cutting a large day into several
+    tasks, so that a batch leaves few large files. Without ``gather_days`` the job is
+    map-only and leaves a file for every task and day in it.
     """
+    events = parse_events(raw)
+    if gather_days:
+        events = events.hint("rebalance", "event_date")
     writer = (
-        parse_events(raw)
-        .writeStream.format(fmt)
+        events.writeStream.format(fmt)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy("event_date")

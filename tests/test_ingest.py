@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import coursetide as ct
 from coursetide.fixtures import as_records, lms_events
@@ -47,6 +48,31 @@ def test_batch_and_stream_agree(spark, folders):
         assert streamed.exceptAll(other).isEmpty() and other.exceptAll(streamed).isEmpty()
 
 
+@pytest.mark.parametrize("gather", [True, False])
+def test_files_of_a_batch(spark, folders, tmp_path, gather):
+    events = lms_events(spark, str(TESTDATA / "sf0.001")).where("event_date < '2024-01-04'")
+    as_records(events).repartition(4).write.parquet(folders.log)
+    raw = ct.replay_records(spark, folders.log)
+    ct.ingest(raw, folders.bronze, folders.checkpoint, catch_up=True, gather_days=gather).awaitTermination()
+    files = len(list((tmp_path / "bronze").glob("event_date=*/*.parquet")))
+    assert files == 3 if gather else files > 3
+    assert ct.read_bronze(spark, folders.bronze).count() == events.count()
+
+
+def test_a_large_day_of_a_batch_is_cut(spark, folders, tmp_path):
+    events = lms_events(spark, str(TESTDATA / "sf0.01"))
+    one_day = as_records(events.withColumn("timestamp_iso", F.lit("2024-01-15T00:00:00Z")))
+    one_day.repartition(8).write.parquet(folders.log)
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "64k")
+    try:
+        catch_up(spark, folders)
+    finally:
+        spark.conf.unset(setting)
+    assert len(list((tmp_path / "bronze" / "event_date=2024-01-15").glob("*.parquet"))) > 1
+    assert ct.read_bronze(spark, folders.bronze).count() == events.count()
+
+
 def test_restart_takes_up_where_it_stopped(spark, folders):
     add_to_log(spark, folders, event("1"), event("2"))
     catch_up(spark, folders)

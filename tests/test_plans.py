@@ -16,7 +16,7 @@ from coursetide.sources import kafka_options
 from .conftest import TESTDATA
 
 FOLDER = str(TESTDATA / "sf0.001")
-WRITING = {"bronze_stream_replay", "silver_publish_roundtrip"} | {
+WRITING = {"bronze_stream_replay", "silver_publish_roundtrip", "health_status_strays"} | {
     name for name in registry.queries() if name.startswith("kpi_csv")
 }
 
@@ -101,7 +101,7 @@ def test_kafka_options(spark):
         "subscribe": "lms_events",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "8000",
+        "maxOffsetsPerTrigger": "2000000",
         "minPartitions": "8",
     }
     given = kafka_options(

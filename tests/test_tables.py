@@ -74,12 +74,13 @@ def test_rows_of_other_days_are_not_written(spark, path):
     assert stored(spark, path) == [(DAY, "x"), (NEXT, "a")]
 
 
-@pytest.mark.parametrize("files", [1, 3])
+@pytest.mark.parametrize("files", [1, 3, 8])
 def test_file_count(spark, path, tmp_path, files):
-    users = [(f"u{n}", DAY) for n in range(50)]
+    users = [(f"u{n}", DAY) for n in range(200)]
     ct.publish(silver_of(spark, *users), path, DAY, files=files)
-    assert len(list((tmp_path / "silver").glob("event_date=*/*.parquet"))) == files
-    assert len(stored(spark, path)) == 50
+    written = len(list((tmp_path / "silver").glob("event_date=*/*.parquet")))
+    assert written == 1 if files == 1 else 1 < written <= files
+    assert len(stored(spark, path)) == 200
 
 
 def test_file_count_per_day_of_a_range(spark, path, tmp_path):
@@ -95,6 +96,35 @@ def test_rows_per_file(spark, path, tmp_path):
     assert len(list((tmp_path / "silver").glob("event_date=*/*.parquet"))) == 3
 
 
+@pytest.fixture
+def small_tasks(spark):
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def test_a_large_day_is_cut_and_small_ones_are_not(spark, path, tmp_path, small_tasks):
+    users = [(f"user-{n:04}", DAY) for n in range(1500)] + [("user-0000", NEXT)]
+    ct.publish_between(silver_of(spark, *users), path, DAY, NEXT)
+    files = {
+        day: len(list((tmp_path / "silver" / f"event_date={day}").glob("*.parquet"))) for day in (DAY, NEXT)
+    }
+    assert files[DAY] > 1 and files[NEXT] == 1
+    assert len(stored(spark, path)) == 1501
+
+
+def test_delta_predicate():
+    from coursetide.sources.tables import _days_predicate
+
+    assert _days_predicate(DAY, NEXT) == "event_date >= date'2025-01-02' AND event_date <= date'2025-01-03'"
+
+
 def test_backfill_is_day_by_day(spark, tmp_path):
     bronze = lms_events(spark, str(TESTDATA / "sf0.001"))
     whole, cut, daily = (str(tmp_path / name) for name in ("whole", "cut", "daily"))
@@ -153,6 +183,16 @@ def test_read_bronze_with_a_later_column(spark, tmp_path):
     assert sorted(str(r.device) for r in merged.collect()) == ["None", "x"]
 
 
+def test_shuffle_width_follows_the_volume(spark):
+    other = spark.newSession()
+    width = "spark.sql.shuffle.partitions"
+    other.conf.set(width, "8")
+    ct.prepare(other, shuffle_bytes=10**6)
+    assert other.conf.get(width) == "8"
+    ct.prepare(other, shuffle_bytes=10**12)
+    assert other.conf.get(width) == "7451"
+
+
 def test_scratch_folder_is_under_the_shared_one(spark):
     from coursetide.session import scratch_dir
 
