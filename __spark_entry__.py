@@ -88,6 +88,17 @@ def bronze_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver ---------------------------------------------------------------------------
 
 
+def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the record log through the stream and the daily job to the silver table."""
+    folder = scratch_dir(spark, "daily")
+    log = as_records(_bronze(spark, sf_dir)).unionByName(stray_records(spark, sf_dir))
+    log.write.parquet(f"{folder}/log")
+    records = ct.replay_records(spark, f"{folder}/log")
+    ct.ingest(records, f"{folder}/bronze", f"{folder}/checkpoint", catch_up=True).awaitTermination()
+    ct.run_day(spark, f"{folder}/bronze", f"{folder}/silver", DAY)
+    return _flat_silver(ct.read_silver(spark, f"{folder}/silver"))
+
+
 def user_progress_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_silver(ct.user_progress(_bronze(spark, sf_dir), DAY))
 
@@ -209,6 +220,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bronze_parse,
         bronze_parse_strays,
         bronze_stream_replay,
+        daily_run,
         user_progress_day,
         user_progress_backfill,
         silver_publish_roundtrip,
@@ -372,6 +384,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
         "bronze_stream_replay": with_strays,
+        "daily_run": all_silver + f" WHERE event_date = '{DAY}'",
         "user_progress_day": all_silver + f" WHERE event_date = '{DAY}'",
         "user_progress_backfill": all_silver,
         "silver_publish_roundtrip": all_silver,

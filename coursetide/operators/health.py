@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import distinct_with_null
 from ..schemas import EVENT_TYPES
 
 
@@ -38,20 +39,18 @@ def pipeline_health(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     Null counts as a type, user or course of its own, so one unreadable record turns a
     table that has exactly the expected types into one that needs attention.
     """
-    keys = ["event_type", "user_id", "course_id"]
-    groups = bronze.groupingSets([[key] for key in keys], *keys).agg(
-        *(F.grouping(key).alias(f"no_{key}") for key in keys),
-        F.count(F.lit(1)).alias("records"),
-    )
-    of = {key: F.col(f"no_{key}") == 0 for key in keys}
     silver_records = silver.select(F.count(F.lit(1))).scalar()
-    counts = groups.agg(
-        F.coalesce(F.sum(F.when(of["event_type"], F.col("records"))), F.lit(0)).alias("bronze_records"),
-        F.count_if(of["event_type"]).alias("event_types"),
-        F.count_if(of["user_id"]).alias("active_users"),
-        F.count_if(of["course_id"]).alias("active_courses"),
-    ).withColumn("silver_records", silver_records)
-    counts = counts.withColumn("event_types_ok", F.col("event_types") == len(EVENT_TYPES))
+    counts = bronze.agg(
+        F.count(F.lit(1)).alias("bronze_records"),
+        distinct_with_null("event_type").alias("event_types"),
+        distinct_with_null("user_id").alias("active_users"),
+        distinct_with_null("course_id").alias("active_courses"),
+    ).withColumns(
+        {
+            "silver_records": silver_records,
+            "event_types_ok": F.col("event_types") == len(EVENT_TYPES),
+        }
+    )
     healthy = F.col("event_types_ok")
     for name in ("bronze_records", "silver_records", "active_users", "active_courses"):
         healthy = healthy & (F.col(name) > 0)

@@ -103,6 +103,18 @@ def test_unreadable_and_late_records(spark, folders, tmp_path):
     ]
 
 
+def test_a_day_run_again_takes_up_late_records(spark, folders, tmp_path):
+    silver_path = str(tmp_path / "silver")
+    add_to_log(spark, folders, event("1"))
+    catch_up(spark, folders)
+    ct.run_day(spark, folders.bronze, silver_path, "2025-01-02")
+    add_to_log(spark, folders, event("late"), first_offset=1)
+    catch_up(spark, folders)
+    assert ct.read_silver(spark, silver_path).first().total_activities == 1
+    ct.run_day(spark, folders.bronze, silver_path, "2025-01-02")
+    assert [r.total_activities for r in ct.read_silver(spark, silver_path).collect()] == [2]
+
+
 def test_interval_trigger(spark, folders):
     add_to_log(spark, folders, event("1"))
     raw = ct.replay_records(spark, folders.log)

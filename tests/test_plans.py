@@ -16,7 +16,12 @@ from coursetide.sources import kafka_options
 from .conftest import TESTDATA
 
 FOLDER = str(TESTDATA / "sf0.001")
-WRITING = {"bronze_stream_replay", "silver_publish_roundtrip", "health_status_strays"} | {
+WRITING = {
+    "bronze_stream_replay",
+    "daily_run",
+    "silver_publish_roundtrip",
+    "health_status_strays",
+} | {
     name for name in registry.queries() if name.startswith("kpi_csv")
 }
 
