@@ -179,6 +179,10 @@ def most_watched_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.most_watched_videos(_bronze(spark, sf_dir))
 
 
+def top_watched_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.most_watched_videos(_bronze(spark, sf_dir), k=20)
+
+
 def completed_users_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.completed_users(_bronze(spark, sf_dir), COURSE, DAY)
 
@@ -236,6 +240,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         events_by_type,
         avg_quiz_score_per_course,
         most_watched_videos,
+        top_watched_videos,
         completed_users_strict,
         completed_users_loose,
         course_completion,
@@ -417,6 +422,7 @@ FROM silver GROUP BY engagement_level""",
         + ' SELECT event_type, count(*) AS "count" FROM lms GROUP BY event_type ORDER BY event_type',
         "avg_quiz_score_per_course": _LMS + _QUIZ_SCORES,
         "most_watched_videos": _LMS + _VIDEOS,
+        "top_watched_videos": _LMS + _VIDEOS + " ORDER BY total_watch_seconds DESC, video_id LIMIT 20",
         "completed_users_strict": _LMS + f" SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED} AND passed",
         "completed_users_loose": _LMS + f" SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED}",
         "course_completion": _LMS + _COMPLETION,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import percent_of
-from ..session import as_day
+from ..session import as_day, require_utc
 
 
 def silver_kpis(silver: DataFrame) -> DataFrame:
@@ -59,9 +59,9 @@ def avg_quiz_score_per_course(bronze: DataFrame) -> DataFrame:
     )
 
 
-def most_watched_videos(bronze: DataFrame) -> DataFrame:
-    """All videos by total watch time of completed views."""
-    return (
+def most_watched_videos(bronze: DataFrame, k: int | None = None) -> DataFrame:
+    """Videos by total watch time of completed views: all of them, or the k first."""
+    ranking = (
         _of_type(bronze, "video_completed")
         .select(
             F.col("payload.video_id").alias("video_id"),
@@ -71,6 +71,7 @@ def most_watched_videos(bronze: DataFrame) -> DataFrame:
         .agg(F.sum("watch_seconds").alias("total_watch_seconds"))
         .orderBy(F.desc_nulls_last("total_watch_seconds"), "video_id")
     )
+    return ranking if k is None else ranking.limit(k)
 
 
 def completed_users(
@@ -112,6 +113,7 @@ def _of_type(bronze: DataFrame, kind: str) -> DataFrame:
 
 
 def _submissions(bronze: DataFrame, course_id: str, day: date | str | None) -> DataFrame:
+    require_utc(bronze)
     # The stored day is the partition column: filtering on it reads one partition.
     return (
         bronze.where((F.col("event_type") == "quiz_submitted") & (F.col("course_id") == course_id))

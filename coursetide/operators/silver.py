@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import average_for, completion_percent, engagement_level, event_count, mean_of, total_for
 from ..schemas import COUNTERS, SILVER
-from ..session import as_day
+from ..session import as_day, require_utc
 
 
 def user_progress(bronze: DataFrame, run_date: date | str) -> DataFrame:
@@ -34,6 +34,7 @@ def user_progress_between(
 
 
 def _progress(bronze: DataFrame) -> DataFrame:
+    require_utc(bronze)
     # The exact distinct count makes Spark group by (user, day, course) first and then by
     # (user, day). Both steps combine before their shuffle, so a learner with a large
     # share of all rows sends at most one row per task and course.

@@ -38,6 +38,8 @@ def require_utc(df: DataFrame) -> None:
 
 
 def as_day(day: date | str) -> date:
+    if isinstance(day, datetime):
+        return day.date()
     return day if isinstance(day, date) else date.fromisoformat(day)
 
 

@@ -19,8 +19,8 @@ def read_bronze(
     spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:
     """Bronze rows; with ``merge_schema`` also columns that later files added."""
-    if fmt == "parquet" and merge_schema:
-        return spark.read.option("mergeSchema", True).parquet(path)
+    if merge_schema:
+        return spark.read.format(fmt).option("mergeSchema", True).load(path)
     return _read(spark, path, fmt, BRONZE)
 
 

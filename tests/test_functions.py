@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from coursetide import functions as cf
+from coursetide.session import as_day
+
+from .rows import DAY
+
+
+def evaluate(spark, column):
+    return spark.range(1).select(column.alias("x")).first().x
+
+
+def number(value):
+    return F.lit(value).cast("long")
+
+
+@pytest.mark.parametrize(
+    ("finished", "opened", "percent"), [(1, 1, 50.0), (2, 0, 100.0), (0, 3, 0.0), (0, 0, None), (None, 1, None)]
+)
+def test_completion_percent(spark, finished, opened, percent):
+    assert evaluate(spark, cf.completion_percent(number(finished), number(opened))) == percent
+
+
+@pytest.mark.parametrize(("left", "right", "mean"), [(50.0, 100.0, 75.0), (None, 100.0, None), (0.0, None, None)])
+def test_mean_of(spark, left, right, mean):
+    columns = (F.lit(value).cast("double") for value in (left, right))
+    assert evaluate(spark, cf.mean_of(*columns)) == mean
+
+
+@pytest.mark.parametrize(
+    ("activities", "level"), [(0, "Low"), (1, "Low"), (2, "Medium"), (4, "Medium"), (5, "High"), (99, "High")]
+)
+def test_engagement_level(spark, activities, level):
+    assert evaluate(spark, cf.engagement_level(number(activities))) == level
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "digits", "percent"), [(1, 8, 0, 13.0), (1, 3, 1, 33.3), (1, 0, 1, None), (3, 3, 1, 100.0)]
+)
+def test_percent_of_rounds_half_up(spark, part, whole, digits, percent):
+    assert evaluate(spark, cf.percent_of(number(part), number(whole), digits)) == percent
+
+
+@pytest.mark.parametrize(
+    ("iso", "instant"),
+    [
+        ("2025-01-02T23:30:00-02:00", datetime(2025, 1, 3, 1, 30)),
+        ("2025-01-02T10:00:00.123456+00:00", datetime(2025, 1, 2, 10, 0, 0, 123456)),
+        ("2025-01-02T10:00:00Z", datetime(2025, 1, 2, 10)),
+        ("2025-13-02T10:00:00Z", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_event_instant_and_day(spark, iso, instant):
+    column = cf.event_instant(F.lit(iso).cast("string"))
+    assert evaluate(spark, column) == instant
+    assert evaluate(spark, cf.event_day(column)) == (instant and instant.date())
+
+
+def test_days_as_text_date_or_datetime():
+    assert as_day("2025-01-02") == as_day(DAY) == as_day(datetime(2025, 1, 2, 23, 59)) == DAY
+    with pytest.raises(ValueError):
+        as_day("2025-1-2x")

@@ -75,6 +75,7 @@ def test_watched_videos(spark):
         + [bronze_row("video_started", video_id="v1", watch_seconds=99)],
     )
     assert tuples(ct.most_watched_videos(bronze)) == [("v1", 11), ("v2", 11), ("v3", None)]
+    assert tuples(ct.most_watched_videos(bronze, k=1)) == [("v1", 11)]
 
 
 def test_course_completion_counts_match_the_lists(spark):
