@@ -4,6 +4,7 @@ import uuid
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 import coursetide as ct
 from coursetide.fixtures import lms_events
@@ -63,6 +64,17 @@ def test_no_rows_clear_the_day_and_leave_others(spark, path):
     assert stored(spark, path) == [(DAY, "c"), (NEXT, "a")]
 
 
+def test_a_failed_publish_leaves_the_day_as_it_was(spark, path):
+    ct.publish(silver_of(spark, ("a", DAY), ("b", DAY)), path, DAY)
+    new = silver_of(spark, *((f"new{n}", DAY) for n in range(40)))
+    lost = F.when(F.col("user_id") == "new7", F.raise_error(F.lit("task lost"))).otherwise(F.col("user_id"))
+    with pytest.raises(Exception, match="task lost"):
+        ct.publish(new.withColumn("user_id", lost), path, DAY)
+    assert stored(spark, path) == [(DAY, "a"), (DAY, "b")]
+    ct.publish(new, path, DAY)
+    assert len(stored(spark, path)) == 40
+
+
 def test_no_rows_on_a_new_table(spark, path):
     ct.publish(silver_of(spark), path, DAY)
     assert stored(spark, path) == []
