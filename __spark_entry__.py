@@ -15,6 +15,11 @@ from coursetide.fixtures import as_records, lms_events, stray_records
 from coursetide.schemas import EVENT_TYPES, PAYLOAD
 from coursetide.session import scratch_dir
 
+try:  # the operators for training data are a part that can be left out
+    from coursetide.llm import queries as training_data
+except ImportError:
+    training_data = None
+
 COURSE = "ct_anatomy_fundamentals"
 DAY = "2024-01-15"
 FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
@@ -248,7 +253,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         kpi_csv_videos,
         kpi_csv_completion,
     )
-    return {query.__name__: query for query in registered}
+    ours = {query.__name__: query for query in registered}
+    return ours | (training_data.queries() if training_data else {})
 
 
 # --- SQL for the same results ---------------------------------------------------------
@@ -385,7 +391,7 @@ def oracle_sql() -> dict[str, str]:
     with_strays = _LMS + _STRAYS + " SELECT * FROM strays"
     required = ", ".join(f"('{name}')" for name in REQUIRED)
     stamped = f"SELECT *, '{DAY}' AS metric_date FROM"
-    return {
+    ours = {
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
         "bronze_stream_replay": with_strays,
@@ -430,3 +436,4 @@ FROM silver GROUP BY engagement_level""",
         "kpi_csv_videos": _LMS + f" {stamped} ({_VIDEOS})",
         "kpi_csv_completion": _LMS + f" {stamped} ({_COMPLETION})",
     }
+    return ours | (training_data.oracle_sql() if training_data else {})
