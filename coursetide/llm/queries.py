@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe
-from coursetide.llm.inputs import read
+from coursetide.llm import bpe, simhash
+from coursetide.llm.inputs import cut_lineage, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -25,8 +25,17 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = cut_lineage(simhash.fingerprints(read(spark, sf_dir, "documents")))
+    return simhash.near_duplicates(prints).select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op6_byte_bpe,)
+    registered = (op6_byte_bpe, op8_simhash)
     return {query.__name__: query for query in registered}
 
 
