@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, simhash
-from coursetide.llm.inputs import cut_lineage, read
+from coursetide.llm import bpe, quality, simhash
+from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -25,6 +25,19 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels")
+    ranking = quality.learn(docs, labels.where(~in_fold("doc_id", 3, 1)))
+    scored = quality.score(docs, ranking)
+    return scored.select(
+        "doc_id",
+        in_fold("doc_id", 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = cut_lineage(simhash.fingerprints(read(spark, sf_dir, "documents")))
     return simhash.near_duplicates(prints).select(
@@ -35,7 +48,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op6_byte_bpe, op8_simhash)
+    registered = (op6_byte_bpe, op7_bradley_terry, op8_simhash)
     return {query.__name__: query for query in registered}
 
 
