@@ -35,7 +35,7 @@ LOOKAHEAD = 3
 #: A vocabulary is sent to every executor, so its file may not be larger than this.
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Pre-tokens whose ids a worker remembers, and characters it splits at once.
-REMEMBERED, AT_ONCE = 250_000, 1 << 21
+REMEMBERED, AT_ONCE = 100_000, 1 << 19
 #: The public pattern, for texts without characters beyond Latin-1: there its classes are short
 #: lists, which the standard library matches several times faster.
 LATIN_1 = {
