@@ -8,12 +8,48 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, quality, simhash
+from coursetide.llm import bpe, decontaminate, quality, simhash
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+#: All windows that hold a shingle of an item, compared with it outright.
+_OP2 = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+items AS (
+  SELECT item_id, w, len(w) AS n FROM (
+    SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) >= 5),
+item_shingles AS (
+  SELECT item_id, n - 4 AS a, s, count(*) AS times FROM (
+    SELECT item_id, n, array_to_string(w[p : p + 4], ' ') AS s FROM (
+      SELECT item_id, n, w, unnest(range(1, n - 3)) AS p FROM items)) GROUP BY ALL),
+hits AS (
+  SELECT doc_id, d.n, p, item_id, a, i.s, times FROM (
+    SELECT doc_id, len(w) AS n, p, array_to_string(w[p : p + 4], ' ') AS s FROM (
+      SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM doc_words)) AS d JOIN item_shingles AS i USING (s)),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, start FROM (
+    SELECT doc_id, item_id, a, n, unnest(range(greatest(1, p - a + 1), p + 1)) AS start FROM hits)
+  WHERE start + a + 3 <= n),
+common AS (
+  SELECT doc_id, item_id, start, a, CAST(sum(least(found, times)) AS BIGINT) AS met FROM (
+    SELECT doc_id, item_id, start, h.s, any_value(a) AS a, any_value(times) AS times, count(*) AS found
+    FROM starts JOIN hits AS h USING (doc_id, item_id) WHERE p BETWEEN start AND start + a - 1
+    GROUP BY doc_id, item_id, start, h.s) GROUP BY doc_id, item_id, start, a),
+alike AS (
+  SELECT doc_id, item_id, start, met / (2 * a - met) AS similarity FROM common WHERE met / (2 * a - met) >= 0.8)
+SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS start,
+  round(max(similarity), 6) AS similarity
+FROM alike GROUP BY doc_id, item_id"""
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(read(spark, sf_dir, "documents"), path, pattern)
@@ -48,9 +84,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op6_byte_bpe, op7_bradley_terry, op8_simhash)
+    registered = (op2_decontaminate, op6_byte_bpe, op7_bradley_terry, op8_simhash)
     return {query.__name__: query for query in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_decontaminate": _OP2}
