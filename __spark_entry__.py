@@ -16,6 +16,7 @@ from coursetide.schemas import EVENT_TYPES, PAYLOAD
 from coursetide.session import scratch_dir
 
 try:  # the operators for training data are a part that can be left out
+    import corpus_pipeline
     from coursetide.llm import queries as training_data
 except ImportError:
     training_data = None
@@ -254,7 +255,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         kpi_csv_completion,
     )
     ours = {query.__name__: query for query in registered}
-    return ours | (training_data.queries() if training_data else {})
+    if training_data:
+        ours |= training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return ours
 
 
 # --- SQL for the same results ---------------------------------------------------------
