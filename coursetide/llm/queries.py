@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, pii, quality, simhash
+from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -57,6 +57,14 @@ def op3_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, PII_KEY, count="n_replaced")
 
 
+def op4_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold("doc_id", 3, 1)
+    sample = langid.learn(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text"), sample)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(read(spark, sf_dir, "documents"), path, pattern)
@@ -91,7 +99,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op2_decontaminate, op3_pii_feistel, op6_byte_bpe, op7_bradley_terry, op8_simhash)
+    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op6_byte_bpe, op7_bradley_terry, op8_simhash)
     return {query.__name__: query for query in registered}
 
 
