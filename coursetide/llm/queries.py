@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash
+from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash, substrings
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -98,8 +98,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    kept = substrings.without_repeats(docs, substrings.repeated(docs))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op6_byte_bpe, op7_bradley_terry, op8_simhash)
+    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
     return {query.__name__: query for query in registered}
 
 
