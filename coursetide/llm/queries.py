@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash, substrings
+from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash, spotsigs, substrings
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,10 @@ def op4_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_neighbours(read(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(read(spark, sf_dir, "documents"), path, pattern)
@@ -105,7 +109,7 @@ def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
+    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
     return {query.__name__: query for query in registered}
 
 
