@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, langid, pii, quality, simhash, spotsigs, substrings
+from coursetide.llm import bpe, decontaminate, html_text, langid, pii, quality, simhash, spotsigs, substrings
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -47,6 +47,11 @@ SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS
 FROM alike GROUP BY doc_id, item_id"""
 
 
+def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
@@ -109,7 +114,7 @@ def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
+    registered = (op1_text_density, op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
     return {query.__name__: query for query in registered}
 
 
