@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, html_text, langid, pii, quality, simhash, spotsigs, substrings
+from coursetide.llm import bpe, decontaminate, html_text, langid, pii, quality, simhash, spotsigs, substrings, toxicity
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -113,8 +113,19 @@ def op9_de_bruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels").where(~in_fold("doc_id", 4, 2)))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        in_fold("doc_id", 4, 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op1_text_density, op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn)
+    registered = (op1_text_density, op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn, op10_clause_grammar)
     return {query.__name__: query for query in registered}
 
 
