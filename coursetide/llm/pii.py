@@ -208,7 +208,7 @@ def pseudonymise(
     taken = set(docs.columns) | {count}
     pieces, found, new = (next(n for i in range(len(taken) + 1) if (n := f"{name}{i}") not in taken) for name in ("pieces", "found", "new"))
     t = f"`{text}`"
-    may = f"{t} rlike '[0-9@=:]'"
+    may = f"{t} rlike '[0-9@=:]|AKIA'"
     rows = docs.withColumn(found, F.expr(f"if({may}, regexp_extract_all({t}, {_q(PATTERN)}, 0), array())").cast("array<string>"))
     rows = rows.withColumn(new, F.expr(f"transform({found}, m -> {_pseudonym(_Key(key, back))})"))
     rows = rows.withColumn(pieces, F.expr(f"if(size({found}) = 0, array({t}), split({t}, {_q(PATTERN)}, -1))"))
