@@ -23,7 +23,6 @@ except ImportError:
 
 COURSE = "ct_anatomy_fundamentals"
 DAY = "2024-01-15"
-FIRST_DAY, LAST_DAY = "2024-01-01", "2024-01-30"
 REQUIRED = (*EVENT_TYPES, "certificate_issued", "survey_answered")
 
 
@@ -44,6 +43,13 @@ def _bronze_with_strays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.parse_events(records)
 
 
+def _stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze as a table on storage, so that a day is one partition of it."""
+    path = scratch_dir(spark, "bronze")
+    _bronze(spark, sf_dir).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
+    return ct.read_bronze(spark, path)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.user_progress_between(_bronze(spark, sf_dir))
 
@@ -98,7 +104,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From the record log through the stream and the daily job to the silver table."""
     folder = scratch_dir(spark, "daily")
     log = as_records(_bronze(spark, sf_dir)).unionByName(stray_records(spark, sf_dir))
-    log.write.parquet(f"{folder}/log")
+    log.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{folder}/log")
     records = ct.replay_records(spark, f"{folder}/log")
     ct.ingest(records, f"{folder}/bronze", f"{folder}/checkpoint", catch_up=True).awaitTermination()
     ct.run_day(spark, f"{folder}/bronze", f"{folder}/silver", DAY)
@@ -106,7 +112,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_progress_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat_silver(ct.user_progress(_bronze(spark, sf_dir), DAY))
+    return _flat_silver(ct.user_progress(_stored_bronze(spark, sf_dir), DAY))
 
 
 def user_progress_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,14 +120,48 @@ def user_progress_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Backfill all days, run one of them again, read the table."""
+    """Backfill all days the table has, run one of them again, read the table."""
     path = scratch_dir(spark, "silver")
     bronze = _bronze(spark, sf_dir)
-    ct.backfill(bronze, path, FIRST_DAY, LAST_DAY)
+    first, last = bronze.agg(F.min("event_date"), F.max("event_date")).first()
+    ct.backfill(bronze, path, first, last)
     ct.publish(ct.user_progress(bronze, DAY), path, DAY)
     return _flat_silver(ct.read_silver(spark, path))
 
 
+def silver_publish_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per day of a table published with at most two files a day, and whether it has no more."""
+    path = scratch_dir(spark, "silver")
+    bronze = _bronze(spark, sf_dir)
+    first, last = bronze.agg(F.min("event_date"), F.max("event_date")).first()
+    ct.backfill(bronze, path, first, last, files=2)
+    files = F.count_distinct("_metadata.file_name")
+    by_day = spark.read.parquet(path).groupBy(F.col("event_date").cast("string").alias("event_date"))
+    return by_day.agg(F.count("*").alias("records"), (files <= 2).alias("two_files_at_most"))
+
+
+def bronze_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per day, those without a day included."""
+    counts = ct.partition_rows(_bronze_with_strays(spark, sf_dir))
+    return counts.withColumn("event_date", F.col("event_date").cast("string"))
+
+
+def lineage_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows of both tables were stamped with the time and day they were made."""
+    now = F.current_timestamp()
+
+    def stamped(table: DataFrame, fresh: F.Column, name: str) -> DataFrame:
+        return table.agg(F.count("*").alias("records"), F.count_if(fresh).alias("stamped")).select(
+            F.lit(name).alias("table_name"), "records", "stamped"
+        )
+
+    recent = F.col("ingest_time").between(now - F.expr("INTERVAL 1 DAY"), now)
+    bronze = stamped(_bronze_with_strays(spark, sf_dir), recent, "bronze")
+    today = F.col("processing_date") == F.to_date("processing_timestamp")
+    just_now = F.col("processing_timestamp").between(now - F.expr("INTERVAL 1 DAY"), now)
+    return bronze.unionAll(stamped(_silver(spark, sf_dir), today & just_now, "silver"))
+
+
 def silver_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = ct.partition_rows(_silver(spark, sf_dir))
     return counts.withColumn("event_date", F.col("event_date").cast("string"))
@@ -131,9 +171,16 @@ def silver_partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The time of the silver run is now, so only that there is one is put out."""
-    latest = ct.freshness(_bronze(spark, sf_dir), _silver(spark, sf_dir))
-    return latest.select("latest_event", F.col("latest_silver_run").isNotNull().alias("silver_has_run"))
+    """Over a published silver table. The time of its run is now, so what is put out is whether it is the
+    latest one that its rows have."""
+    path = scratch_dir(spark, "silver")
+    bronze = _bronze(spark, sf_dir)
+    first, last = bronze.agg(F.min("event_date"), F.max("event_date")).first()
+    ct.backfill(bronze, path, first, last)
+    silver = ct.read_silver(spark, path)
+    latest = silver.agg(F.max("processing_timestamp").alias("t")).first()["t"]
+    found = ct.freshness(bronze, silver)
+    return found.select("latest_event", (F.col("latest_silver_run") == F.lit(latest)).alias("silver_run_is_latest"))
 
 
 def missing_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +213,7 @@ def silver_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ct.top_courses(_bronze(spark, sf_dir))
+    return ct.top_courses(_stored_bronze(spark, sf_dir))
 
 
 def engagement_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,7 +245,22 @@ def completed_users_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def course_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ct.course_completion(_bronze(spark, sf_dir), COURSE, DAY)
+    return ct.course_completion(_stored_bronze(spark, sf_dir), COURSE, DAY)
+
+
+def completed_users_written_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the date that stands in the time text, an hour in a zone two hours behind."""
+    shifted = F.concat(F.date_format(F.col("event_time") - F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-02:00"))
+    bronze = _stored_bronze(spark, sf_dir).withColumn("timestamp_iso", shifted)
+    return ct.completed_users(bronze, COURSE, DAY, written_day=True)
+
+
+def course_completion_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default day, over events moved so that the days they cover end yesterday."""
+    bronze = _bronze(spark, sf_dir)
+    last = bronze.select(F.max("event_date")).scalar()
+    moved = F.date_add(F.date_sub(F.current_date(), 1), F.datediff(F.col("event_date"), last))
+    return ct.course_completion(bronze.withColumn("event_date", moved), COURSE)
 
 
 # --- extracts -------------------------------------------------------------------------
@@ -226,6 +288,13 @@ def kpi_csv_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    ours = analytics_queries()
+    if training_data:
+        ours |= training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return ours
+
+
+def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         bronze_parse,
         bronze_parse_strays,
@@ -234,7 +303,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         user_progress_day,
         user_progress_backfill,
         silver_publish_roundtrip,
+        silver_publish_files,
         silver_partition_counts,
+        bronze_partition_counts,
+        lineage_columns,
         freshness,
         missing_event_types,
         health_status,
@@ -249,15 +321,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         top_watched_videos,
         completed_users_strict,
         completed_users_loose,
+        completed_users_written_day,
         course_completion,
+        course_completion_yesterday,
         kpi_csv_roundtrip,
         kpi_csv_videos,
         kpi_csv_completion,
     )
-    ours = {query.__name__: query for query in registered}
-    if training_data:
-        ours |= training_data.queries() | {"pipeline": corpus_pipeline.run}
-    return ours
+    return {query.__name__: query for query in registered}
 
 
 # --- SQL for the same results ---------------------------------------------------------
@@ -402,10 +473,20 @@ def oracle_sql() -> dict[str, str]:
         "user_progress_day": all_silver + f" WHERE event_date = '{DAY}'",
         "user_progress_backfill": all_silver,
         "silver_publish_roundtrip": all_silver,
+        "silver_publish_files": silver
+        + " SELECT event_date, count(*) AS records, true AS two_files_at_most FROM silver GROUP BY event_date",
+        "bronze_partition_counts": _LMS
+        + _STRAYS
+        + " SELECT event_date, count(*) AS records FROM strays GROUP BY event_date",
+        "lineage_columns": _LMS
+        + _STRAYS
+        + _SILVER
+        + " SELECT 'bronze' AS table_name, count(*) AS records, count(*) AS stamped FROM strays"
+        + " UNION ALL SELECT 'silver', count(*), count(*) FROM silver",
         "silver_partition_counts": silver
         + " SELECT event_date, count(*) AS records FROM silver GROUP BY event_date",
         "freshness": _LMS
-        + " SELECT max(timestamp_iso) AS latest_event, count(*) > 0 AS silver_has_run FROM lms",
+        + " SELECT max(timestamp_iso) AS latest_event, count(*) > 0 AS silver_run_is_latest FROM lms",
         "missing_event_types": _LMS
         + f" SELECT event_type FROM (VALUES {required}) AS r(event_type)"
         + " WHERE event_type NOT IN (SELECT event_type FROM lms)",
@@ -434,7 +515,13 @@ FROM silver GROUP BY engagement_level""",
         "top_watched_videos": _LMS + _VIDEOS + " ORDER BY total_watch_seconds DESC, video_id LIMIT 20",
         "completed_users_strict": _LMS + f" SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED} AND passed",
         "completed_users_loose": _LMS + f" SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED}",
+        "completed_users_written_day": _LMS
+        + f" SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED} AND passed".replace(
+            "event_date = ", "CAST(CAST(make_timestamp(event_time_us - 7200000000) AS DATE) AS VARCHAR) = "
+        ),
         "course_completion": _LMS + _COMPLETION,
+        "course_completion_yesterday": _LMS
+        + _COMPLETION.replace(f"event_date = '{DAY}'", "event_date = (SELECT max(event_date) FROM lms)"),
         "kpi_csv_roundtrip": _LMS + f" {stamped} ({_QUIZ_SCORES})",
         "kpi_csv_videos": _LMS + f" {stamped} ({_VIDEOS})",
         "kpi_csv_completion": _LMS + f" {stamped} ({_COMPLETION})",

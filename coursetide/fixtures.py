@@ -18,6 +18,8 @@ COURSES = (
     "quality_assurance_procedures",
     "ct_pathology_recognition",
 )
+# The cohorts learners enrol in.
+COHORTS = ("A", "B", "C")
 TOPIC = "lms_events"
 TOPIC_PARTITIONS = 3
 
@@ -40,7 +42,7 @@ def lms_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = {
         "enroll_method": only(F.when(k % 2 == 0, "self_service").otherwise("assigned"), "course_enrolled"),
         "cohort": only(
-            F.element_at(F.array(*map(F.lit, "ABC")), (k % 3 + 1).cast("int")), "course_enrolled"
+            F.element_at(F.array(*map(F.lit, COHORTS)), (k % len(COHORTS) + 1).cast("int")), "course_enrolled"
         ),
         "video_id": only(label("v", 1000 + k), *video),
         "position_seconds": only(F.lit(0).cast("long"), "video_started"),

@@ -28,9 +28,8 @@ def parse_events(raw: DataFrame) -> DataFrame:
     event ids stay.
     """
     require_utc(raw)
-    events = decode_records(raw).select(
-        F.from_json("message", ENVELOPE).alias("event"), "partition", "offset"
-    )
+    message = F.col("value").cast("string")
+    events = raw.select(F.from_json(message, ENVELOPE).alias("event"), "partition", "offset")
     return (
         events.select("event.*", "partition", "offset")
         .withColumn("event_time", event_instant(F.col("timestamp_iso")))

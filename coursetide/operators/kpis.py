@@ -23,13 +23,7 @@ def silver_kpis(silver: DataFrame) -> DataFrame:
 
 def top_courses(bronze: DataFrame, k: int = 10) -> DataFrame:
     """The k courses with most enrolments."""
-    return (
-        _of_type(bronze, "course_enrolled")
-        .groupBy("course_id")
-        .count()
-        .orderBy(F.desc("count"), "course_id")
-        .limit(k)
-    )
+    return _ranking(bronze, "course_enrolled", "course_id", F.count("*").alias("count"), k)
 
 
 def engagement_distribution(silver: DataFrame) -> DataFrame:
@@ -50,51 +44,44 @@ def events_by_type(bronze: DataFrame) -> DataFrame:
 
 def avg_quiz_score_per_course(bronze: DataFrame) -> DataFrame:
     """Average score of submitted quizzes, best course first, courses without scores last."""
-    return (
-        _of_type(bronze, "quiz_submitted")
-        .select("course_id", F.col("payload.score").alias("score"))
-        .groupBy("course_id")
-        .agg(F.round(F.avg("score"), 2).alias("avg_quiz_score"))
-        .orderBy(F.desc_nulls_last("avg_quiz_score"), "course_id")
-    )
+    score = F.round(F.avg("payload.score"), 2).alias("avg_quiz_score")
+    return _ranking(bronze, "quiz_submitted", "course_id", score)
 
 
 def most_watched_videos(bronze: DataFrame, k: int | None = None) -> DataFrame:
     """Videos by total watch time of completed views: all of them, or the k first."""
-    ranking = (
-        _of_type(bronze, "video_completed")
-        .select(
-            F.col("payload.video_id").alias("video_id"),
-            F.col("payload.watch_seconds").alias("watch_seconds"),
-        )
-        .groupBy("video_id")
-        .agg(F.sum("watch_seconds").alias("total_watch_seconds"))
-        .orderBy(F.desc_nulls_last("total_watch_seconds"), "video_id")
-    )
-    return ranking if k is None else ranking.limit(k)
+    watched = F.sum("payload.watch_seconds").alias("total_watch_seconds")
+    return _ranking(bronze, "video_completed", F.col("payload.video_id").alias("video_id"), watched, k)
 
 
 def completed_users(
-    bronze: DataFrame, course_id: str, day: date | str | None = None, strict: bool = True
+    bronze: DataFrame,
+    course_id: str,
+    day: date | str | None = None,
+    strict: bool = True,
+    written_day: bool = False,
 ) -> DataFrame:
     """Learners who submitted a quiz of the course on the day, passed if ``strict``.
 
-    The day defaults to yesterday.
+    The day defaults to yesterday. It is the stored UTC day, or with ``written_day`` the date
+    that stands in the event's time text, whatever its zone.
     """
-    submitted = _submissions(bronze, course_id, day)
+    submitted = _submissions(bronze, course_id, day, written_day)
     if strict:
         submitted = submitted.where(F.col("passed") == F.lit(True))
     return submitted.select("user_id").distinct()
 
 
-def course_completion(bronze: DataFrame, course_id: str, day: date | str | None = None) -> DataFrame:
+def course_completion(
+    bronze: DataFrame, course_id: str, day: date | str | None = None, written_day: bool = False
+) -> DataFrame:
     """Both user counts of :func:`completed_users` as two rows, from one pass.
 
     Grouping by learner first makes a missing user id count as one user, as a distinct
     list has it, and leaves two plain counts over the groups.
     """
     learners = (
-        _submissions(bronze, course_id, day)
+        _submissions(bronze, course_id, day, written_day)
         .groupBy("user_id")
         .agg(F.coalesce(F.bool_or("passed"), F.lit(False)).alias("passed"))
     )
@@ -108,16 +95,31 @@ def course_completion(bronze: DataFrame, course_id: str, day: date | str | None
     )
 
 
-def _of_type(bronze: DataFrame, kind: str) -> DataFrame:
-    return bronze.where(F.col("event_type") == kind)
+def _ranking(
+    bronze: DataFrame, kind: str, key: str | Column, measure: Column, k: int | None = None
+) -> DataFrame:
+    """Keys of events of one type by a measure, largest first and null last, ties by key."""
+    ranked = bronze.where(F.col("event_type") == kind).groupBy(key).agg(measure)
+    name, value = ranked.columns
+    ranked = ranked.orderBy(F.desc_nulls_last(value), name)
+    return ranked if k is None else ranked.limit(k)
 
 
-def _submissions(bronze: DataFrame, course_id: str, day: date | str | None) -> DataFrame:
+def _submissions(
+    bronze: DataFrame, course_id: str, day: date | str | None, written_day: bool
+) -> DataFrame:
     require_utc(bronze)
-    # The stored day is the partition column: filtering on it reads one partition.
+    wanted = _day_or_yesterday(day)
+    # The stored day is the partition column: filtering on it reads one partition, or three
+    # where the text's zone can shift it by a day.
+    on_day = F.col("event_date") == wanted
+    if written_day:
+        written = F.col("timestamp_iso").substr(1, 10).try_cast("date")
+        near = F.col("event_date").between(F.date_sub(wanted, 1), F.date_add(wanted, 1))
+        on_day = near & (written == wanted)
     return (
         bronze.where((F.col("event_type") == "quiz_submitted") & (F.col("course_id") == course_id))
-        .where(F.col("event_date") == _day_or_yesterday(day))
+        .where(on_day)
         .select("user_id", F.col("payload.passed").alias("passed"))
     )
 

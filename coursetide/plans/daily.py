@@ -18,14 +18,18 @@ def run_day(
     run_date: date | str | None = None,
     fmt: str = "parquet",
     files: int | None = None,
+    rows_per_file: int | None = None,
+    file_bytes: int | None = None,
 ) -> None:
     """Publish one day, yesterday unless given.
 
-    Fails when bronze cannot be read, and when silver has no rows for the day afterwards.
+    Fails when bronze has no rows for the day, before silver is touched, and when silver has none
+    afterwards.
     """
     day = yesterday_utc() if run_date is None else as_day(run_date)
     bronze = read_bronze(spark, bronze_path, fmt)
-    publish(user_progress(bronze, day), silver_path, day, fmt, files)
+    require_partition(bronze, day)
+    publish(user_progress(bronze, day), silver_path, day, fmt, files, rows_per_file, file_bytes)
     require_partition(read_silver(spark, silver_path, fmt), day)
 
 
@@ -37,6 +41,8 @@ def backfill(
     fmt: str = "parquet",
     files: int | None = None,
     days_per_job: int | None = None,
+    rows_per_file: int | None = None,
+    file_bytes: int | None = None,
 ) -> None:
     """Publish every day from ``start`` to ``end``; days without events come out empty.
 
@@ -44,9 +50,13 @@ def backfill(
     of each job and what a failed one has to repeat.
     """
     first, last = as_day(start), as_day(end)
+    if first > last:
+        raise ValueError(f"the range begins on {first}, after its end on {last}")
+    if days_per_job is not None and days_per_job < 1:
+        raise ValueError(f"days_per_job is {days_per_job}, and must be at least 1")
     step = timedelta(days=days_per_job or (last - first).days + 1)
     while first <= last:
         until = min(first + step - timedelta(days=1), last)
         silver = user_progress_between(bronze, first, until)
-        publish_between(silver, silver_path, first, until, fmt, files)
+        publish_between(silver, silver_path, first, until, fmt, files, rows_per_file, file_bytes)
         first = until + timedelta(days=1)

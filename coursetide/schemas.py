@@ -31,7 +31,8 @@ KAFKA_RECORD = _fields(
     timestamp="timestamp",
 )
 
-# One wide struct for all event types; fields of other types are null.
+# Names and types of the wire format. One wide struct for all event types;
+# fields of other types are null.
 PAYLOAD = _fields(
     enroll_method="string",
     cohort="string",
@@ -46,7 +47,7 @@ PAYLOAD = _fields(
     read_seconds="long",
 )
 
-# The five fields every producer must set are declared non-null; a record that lacks
+# Names and types of the wire format. The five fields every producer must set are declared non-null; a record that lacks
 # one is still read, with null in its place.
 ENVELOPE = (
     T.StructType()
@@ -67,7 +68,7 @@ BRONZE = T.StructType([T.StructField(f.name, f.dataType) for f in ENVELOPE]) \
     .add("ingest_time", "timestamp") \
     .add("event_date", "date")
 
-# Silver counter column -> the event type it counts.
+# Silver counter column -> the event type it counts.
 COUNTERS = {
     "courses_enrolled": "course_enrolled",
     "videos_started": "video_started",

@@ -12,22 +12,18 @@ _ZONE = "spark.sql.session.timeZone"
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
 
 
-_SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
-_BYTES_PER_SHUFFLE_TASK = 128 * 1024 * 1024
+_FIRST_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def prepare(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+def prepare(spark: SparkSession) -> SparkSession:
     """Set the session zone to UTC, on which every calendar day in this package rests.
 
-    ``shuffle_bytes`` is what the largest shuffle may move. Adaptive execution merges
-    shuffle partitions but does not cut those of an aggregate, so their number is raised
-    until each fits a task.
+    Adaptive execution merges shuffle partitions but does not cut those of an aggregate, so
+    shuffles begin with many, unless the session says how many. Nothing else is changed.
     """
     spark.conf.set(_ZONE, "UTC")
-    if shuffle_bytes is not None:
-        needed = -(-shuffle_bytes // _BYTES_PER_SHUFFLE_TASK)
-        if needed > int(spark.conf.get(_SHUFFLE_WIDTH)):
-            spark.conf.set(_SHUFFLE_WIDTH, str(needed))
+    if spark.conf.get(_FIRST_WIDTH, None) is None:
+        spark.conf.set(_FIRST_WIDTH, "2000")
     return spark
 
 
@@ -38,8 +34,9 @@ def require_utc(df: DataFrame) -> None:
 
 
 def as_day(day: date | str) -> date:
+    """The UTC day; a time without a zone is taken as UTC."""
     if isinstance(day, datetime):
-        return day.date()
+        return (day.astimezone(timezone.utc) if day.tzinfo else day).date()
     return day if isinstance(day, date) else date.fromisoformat(day)
 
 
@@ -48,14 +45,16 @@ def yesterday_utc() -> date:
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``.
+    """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``,
+    or else under the context's checkpoint folder.
 
-    A machine-local folder is made only where that setting is absent and Spark itself
-    runs on this machine alone.
+    A machine-local folder is made only where both are absent and Spark itself runs on this
+    machine in one process.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="coursetide-")
     return f"{shared.rstrip('/')}/coursetide/{purpose}-{uuid.uuid4().hex}"

@@ -2,43 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import KAFKA_RECORD
 
-# Records one core takes in one trigger: some six seconds of parsing.
-RECORDS_PER_CORE = 250_000
+# Most records of one trigger unless given: some six seconds of parsing on eight cores.
+RECORDS_PER_TRIGGER = 2_000_000
 
 
 def kafka_options(
-    spark: SparkSession,
     servers: str,
     topic: str = "lms_events",
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int = RECORDS_PER_TRIGGER,
     min_partitions: int | None = None,
+    more: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options of the Kafka source.
+    """Options of the Kafka source; ``more`` holds any others, such as ``kafka.security.protocol``.
 
-    The limit per trigger and the number of read tasks follow the cluster's cores unless
-    given. Reading with at least as many tasks as cores splits a topic partition that
-    holds most of the records over several tasks.
+    ``min_partitions`` reads with at least so many tasks and so splits a topic partition
+    that holds most of the records; give about the number of cores.
     """
-    cores = spark.sparkContext.defaultParallelism
-    return {
+    for name, value in (("max_offsets_per_trigger", max_offsets_per_trigger), ("min_partitions", min_partitions)):
+        if value is not None and value < 1:
+            raise ValueError(f"{name} is {value}, and must be at least 1")
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
-        "maxOffsetsPerTrigger": str(max_offsets_per_trigger or cores * RECORDS_PER_CORE),
-        "minPartitions": str(min_partitions or cores),
+        "maxOffsetsPerTrigger": str(max_offsets_per_trigger),
     }
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    return options | dict(more or {})
 
 
 def kafka_records(spark: SparkSession, servers: str, **options) -> DataFrame:
     """Stream of one topic's records. Needs Spark's Kafka connector on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(spark, servers, **options)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, **options)).load()
 
 
 def replay_records(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -5,9 +5,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,12 +39,13 @@ def publish(
     fmt: str = "parquet",
     files: int | None = None,
     rows_per_file: int | None = None,
+    file_bytes: int | None = None,
 ) -> None:
     """Replace one day of the silver table, creating the table if need be.
 
     Rows of other days are not written. No rows for the day leaves the day empty.
     """
-    publish_between(silver, path, run_date, run_date, fmt, files, rows_per_file)
+    publish_between(silver, path, run_date, run_date, fmt, files, rows_per_file, file_bytes)
 
 
 def publish_between(
@@ -51,34 +56,47 @@ def publish_between(
     fmt: str = "parquet",
     files: int | None = None,
     rows_per_file: int | None = None,
+    file_bytes: int | None = None,
 ) -> None:
     """Replace every day from ``start`` to ``end`` in one job, days without rows included.
 
-    ``files`` is the most files a day gets; left out, Spark sizes them.
+    ``files`` is the most files a day gets. Left out, a file is written of about ``file_bytes``
+    of shuffled rows (the session's advisory size unless given), which Parquet then makes smaller.
     """
     start, end = as_day(start), as_day(end)
+    if start > end:
+        raise ValueError(f"the range begins on {start}, after its end on {end}")
+    for name, value in (("files", files), ("rows_per_file", rows_per_file), ("file_bytes", file_bytes)):
+        if value is not None and value < 1:
+            raise ValueError(f"{name} is {value}, and must be at least 1")
+    spark = silver.sparkSession
     in_range = F.col("event_date").between(F.lit(start), F.lit(end))
     rows = _laid_out(silver.where(in_range), len(_days(start, end)), files)
     if fmt == "delta":
         writer = _day_writer(rows, rows_per_file).format("delta")
-        writer.option("replaceWhere", _days_predicate(start, end)).save(path)
+        with _advisory_size(spark, file_bytes):
+            writer.option("replaceWhere", _days_predicate(start, end)).save(path)
         return
 
     # Dynamic overwrite swaps in the new files at commit, so a failed job leaves the old
-    # days in place. It does not touch days that got no rows; those are emptied after.
-    # The set of days seen is bounded by the range.
-    seen = Observation("published days")
-    rows = rows.observe(seen, F.collect_set("event_date").alias("days"))
-    _day_writer(rows, rows_per_file).option("partitionOverwriteMode", "dynamic").parquet(path)
-    written = set(seen.get.get("days") or ())
-    _empty_days(silver.sparkSession, path, [d for d in _days(start, end) if d not in written])
+    # days in place. It does not touch days that got no rows. Those still have the files
+    # they had before, as file names are new with every job; they are emptied after.
+    before = _day_files(spark, path, start, end)
+    writer = _day_writer(rows, rows_per_file).option("partitionOverwriteMode", "dynamic")
+    with _advisory_size(spark, file_bytes):
+        writer.parquet(path)
+    after = _day_files(spark, path, start, end) if before else {}
+    _empty_days(spark, path, [day for day, name in before.items() if after.get(day) == name])
 
 
 def partition_rows(
     table: DataFrame, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:
-    """Row count of each day that has rows, over all days or a range of them."""
-    days = table.where(F.col("event_date").isNotNull())
+    """Row count of each day that has rows, over all days or a range of them.
+
+    Over all days, records without a day are counted too, under a null day.
+    """
+    days = table
     if start is not None:
         days = days.where(F.col("event_date") >= F.lit(as_day(start)))
     if end is not None:
@@ -116,19 +134,43 @@ def _days_predicate(start: date, end: date) -> str:
     return f"event_date >= date'{start}' AND event_date <= date'{end}'"
 
 
+@contextmanager
+def _advisory_size(spark: SparkSession, size: int | None) -> Iterator[None]:
+    """The size to which adaptive execution gathers and cuts, for the time of one write."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name, None)
+    if size is not None:
+        spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        if size is not None:
+            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _day_files(spark: SparkSession, path: str, start: date, end: date) -> dict[date, str]:
+    """A file name of each day of the range that has rows: at most one row a day, no column read."""
+    try:
+        table = spark.read.schema(SILVER).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    in_range = F.col("event_date").between(F.lit(start), F.lit(end))
+    name = F.min("_metadata.file_name").alias("name")
+    return {r.event_date: r.name for r in table.where(in_range).groupBy("event_date").agg(name).collect()}
+
+
 def _empty_days(spark: SparkSession, path: str, days: list[date]) -> None:
-    if not days:
-        return
-    stale = (
-        read_silver(spark, path)
-        .where(F.col("event_date").isin(days))
-        .select("event_date")
-        .distinct()
-        .collect()
-    )
-    for row in stale:
+    """Writes a file without rows for each day, a few days at a time."""
+
+    def empty(day: date) -> None:
         nothing = spark.createDataFrame([], SILVER).drop("event_date")
-        nothing.write.mode("overwrite").parquet(f"{path}/event_date={row.event_date}")
+        nothing.write.mode("overwrite").parquet(f"{path}/event_date={day}")
+
+    if days:
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(empty, days))
 
 
 def _days(start: date, end: date) -> list[date]:

@@ -15,7 +15,7 @@ def ingest(
     fmt: str = "parquet",
     every: str = "30 seconds",
     catch_up: bool = False,
-    gather_days: bool = True,
+    gather_days: bool = False,
 ) -> StreamingQuery:
     """Append parsed records to the bronze table, partitioned by day.
 
@@ -23,9 +23,9 @@ def ingest(
     and stops. The checkpoint makes each record arrive once, also over restarts. Late
     records go to their own day.
 
-    Each batch is gathered by day, adaptive execution cutting a large day into several
-    tasks, so that a batch leaves few large files. Without ``gather_days`` the job is
-    map-only and leaves a file for every task and day in it.
+    The job is map-only and leaves a file for every task and day in it. With ``gather_days``,
+    meant for catching up over many days, each batch is shuffled by day first, adaptive
+    execution cutting a large day into several tasks, so that it leaves few large files.
     """
     events = parse_events(raw)
     if gather_days:

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,6 +64,9 @@ def test_event_instant_and_day(spark, iso, instant):
 
 
 def test_days_as_text_date_or_datetime():
+    behind, ahead = (timezone(timedelta(hours=h)) for h in (-2, 2))
+    assert as_day(datetime(2025, 1, 2, 23, 30, tzinfo=behind)) == date(2025, 1, 3)
+    assert as_day(datetime(2025, 1, 2, 1, 30, tzinfo=ahead)) == date(2025, 1, 1)
     assert as_day("2025-01-02") == as_day(DAY) == as_day(datetime(2025, 1, 2, 23, 59)) == DAY
     with pytest.raises(ValueError):
         as_day("2025-1-2x")

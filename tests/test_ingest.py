@@ -28,9 +28,9 @@ def add_to_log(spark, folders, *values, first_offset=0):
     records_of(spark, rows).coalesce(1).write.mode("append").parquet(folders.log)
 
 
-def catch_up(spark, folders, **options):
+def catch_up(spark, folders, gather_days=False, **options):
     raw = ct.replay_records(spark, folders.log, **options)
-    query = ct.ingest(raw, folders.bronze, folders.checkpoint, catch_up=True)
+    query = ct.ingest(raw, folders.bronze, folders.checkpoint, catch_up=True, gather_days=gather_days)
     query.awaitTermination()
     return query
 
@@ -66,7 +66,7 @@ def test_a_large_day_of_a_batch_is_cut(spark, folders, tmp_path):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(setting, "64k")
     try:
-        catch_up(spark, folders)
+        catch_up(spark, folders, gather_days=True)
     finally:
         spark.conf.unset(setting)
     assert len(list((tmp_path / "bronze" / "event_date=2024-01-15").glob("*.parquet"))) > 1

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import threading
 import uuid
 from datetime import date
 
@@ -181,6 +182,10 @@ def test_run_day(spark, path, tmp_path):
     assert stored(spark, path) == [(DAY, "a"), (DAY, "b")]
     with pytest.raises(LookupError):
         ct.run_day(spark, folder, path)
+    ct.publish(silver_of(spark, ("kept", NEXT)), path, NEXT)
+    with pytest.raises(LookupError):  # bronze has no such day, so silver is not touched
+        ct.run_day(spark, folder, path, NEXT)
+    assert (NEXT, "kept") in stored(spark, path)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         ct.run_day(spark, str(tmp_path / "nowhere"), path, DAY)
 
@@ -195,14 +200,69 @@ def test_read_bronze_with_a_later_column(spark, tmp_path):
     assert sorted(str(r.device) for r in merged.collect()) == ["None", "x"]
 
 
-def test_shuffle_width_follows_the_volume(spark):
+def test_prepare_leaves_the_shuffle_width(spark):
     other = spark.newSession()
-    width = "spark.sql.shuffle.partitions"
-    other.conf.set(width, "8")
-    ct.prepare(other, shuffle_bytes=10**6)
-    assert other.conf.get(width) == "8"
-    ct.prepare(other, shuffle_bytes=10**12)
-    assert other.conf.get(width) == "7451"
+    width, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = other.conf.get(width)
+    ct.prepare(other)
+    assert (other.conf.get(width), other.conf.get(first)) == (before, "2000")
+    other.conf.set(first, "50")
+    assert ct.prepare(other).conf.get(first) == "50"
+
+
+def test_publish_does_not_wait_on_listeners(spark, path):
+    """Another session's listeners are gone; which days to empty is seen from the files alone."""
+    other = spark.newSession()
+    ct.prepare(other)
+    manager = other._jsparkSession.listenerManager()
+    manager.clear()
+    both = silver_of(other, ("a", DAY), ("a", NEXT))
+    done = []
+    worker = threading.Thread(
+        target=lambda: (
+            ct.publish_between(both, path, DAY, NEXT),
+            ct.publish_between(silver_of(other, ("b", NEXT)), path, DAY, NEXT),
+            done.append(True),
+        ),
+        daemon=True,
+    )
+    worker.start()
+    worker.join(120)
+    assert done and stored(spark, path) == [(NEXT, "b")]
+
+
+def test_bad_ranges_and_sizes(spark, path):
+    silver = silver_of(spark, ("a", DAY))
+    with pytest.raises(ValueError, match="after its end"):
+        ct.publish_between(silver, path, NEXT, DAY)
+    with pytest.raises(ValueError, match="after its end"):
+        ct.backfill(silver, path, NEXT, DAY)
+    for wrong in ({"files": 0}, {"rows_per_file": 0}, {"file_bytes": -1}):
+        with pytest.raises(ValueError, match="at least 1"):
+            ct.publish(silver, path, DAY, **wrong)
+    for days in (0, -1):
+        with pytest.raises(ValueError, match="at least 1"):
+            ct.backfill(silver, path, DAY, NEXT, days_per_job=days)
+
+
+def test_file_bytes_for_one_write(spark, path, tmp_path):
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting, None)
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    spark.conf.set(least, "1k")
+    try:
+        users = [(f"user-{n:04}", DAY) for n in range(1500)]
+        ct.publish(silver_of(spark, *users), path, DAY, file_bytes=4096)
+    finally:
+        spark.conf.unset(least)
+    assert len(list((tmp_path / "silver" / f"event_date={DAY}").glob("*.parquet"))) > 1
+    assert spark.conf.get(setting, None) == before
+
+
+def test_records_without_a_day_are_counted(spark):
+    bronze = bronze_of(spark, [bronze_row("article_viewed"), bronze_row("article_viewed", day=None)])
+    assert sorted(str(r.event_date) for r in ct.partition_rows(bronze).collect()) == ["2025-01-02", "None"]
+    assert ct.partition_rows(bronze, start=DAY).count() == 1
 
 
 def test_scratch_folder_is_under_the_shared_one(spark):
