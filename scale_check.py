@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import json
 import sys
-import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 
 import coursetide as ct
 from coursetide.fixtures import COURSES, as_records, lms_events
+from coursetide.session import scratch_dir
 
 SF_DIR = "/root/testdata/sf0.1"
 DAY = "2024-01-15"
@@ -67,21 +67,27 @@ def run(df: DataFrame) -> None:
 def main() -> None:
     copies = int(sys.argv[1]) if len(sys.argv) > 1 else 100
     all_cores = [int(cores) for cores in sys.argv[2:]] or [8]
-    root = tempfile.mkdtemp(prefix="coursetide-scale-")
+    root = None
     for n, cores in enumerate(all_cores):
         spark = session(cores)
         if n == 0:
+            root = scratch_dir(spark, "scale")
             bronze = replicated(spark, copies)
             bronze.repartition("event_date").write.partitionBy("event_date").parquet(f"{root}/bronze")
             as_records(bronze).write.parquet(f"{root}/log")
         bronze = ct.read_bronze(spark, f"{root}/bronze")
         out = f"{root}/{cores}"
+
+        def ingest(gather: bool) -> float:
+            raw = ct.replay_records(spark, f"{root}/log")
+            to = f"{out}/{gather}"
+            return timed(
+                lambda: ct.ingest(raw, f"{to}/bronze", f"{to}/cp", catch_up=True, gather_days=gather).awaitTermination()
+            )
+
         times = {
-            "ingest": timed(
-                lambda: ct.ingest(
-                    ct.replay_records(spark, f"{root}/log"), f"{out}/ingested", f"{out}/cp", catch_up=True
-                ).awaitTermination()
-            ),
+            "ingest": ingest(False),
+            "ingest_gathered": ingest(True),
             "user_progress_day": timed(lambda: run(ct.user_progress(bronze, DAY))),
             "user_progress_all": timed(lambda: run(ct.user_progress_between(bronze))),
             "backfill": timed(lambda: ct.backfill(bronze, f"{out}/silver", "2024-01-01", "2024-01-30")),
