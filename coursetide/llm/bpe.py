@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from coursetide.llm.inputs import few_at_once
+
 #: Pre-tokens that end so close to a chunk's end may go on behind it: the longest
 #: contraction of the pattern has three characters.
 LOOKAHEAD = 3
@@ -47,15 +49,23 @@ LATIN_1 = {
 }
 
 
+@functools.lru_cache(maxsize=2)
+def _tokens(raw: bytes) -> list[bytes]:
+    """Tokens by rank; empty where a rank is free."""
+    found = {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in raw.splitlines())}
+    return [found.get(rank, b"") for rank in range(max(found, default=-1) + 1)]
+
+
+def decoded_bytes(ids: bytes, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class Vocabulary:
     """Token ranks of a ``.tiktoken`` file and the merges they imply."""
 
     def __init__(self, raw: bytes, pattern: str):
-        lines = (line.split() for line in raw.splitlines())
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
-        self.tokens = [b""] * (max(self.ranks.values(), default=-1) + 1)
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
+        self.tokens = _tokens(raw)
+        self.ranks = {token: rank for rank, token in enumerate(self.tokens) if token}
         self.pattern = regex.compile(pattern)
         self.fast = re.compile(LATIN_1[pattern]) if pattern in LATIN_1 else None
         self.known: dict[str, bytes] = {}
@@ -107,9 +117,6 @@ class Vocabulary:
                 first, size = n + 1, 0
         return out
 
-    def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-
     def _all(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of pre-tokens: those of the same number of bytes are merged side by side."""
         found: dict[str, bytes] = {}
@@ -230,7 +237,7 @@ def encode(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(raw.value, pattern)
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             ids = vocabulary.encode(batch.column(1).to_pylist())
             sizes = pa.array([len(x) // 4 for x in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -242,7 +249,7 @@ def encode(
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(raw.value, pattern)
-        for batch in batches:
+        for batch in few_at_once(batches, "part"):
             texts = batch.column("part").to_pylist()
             pieces = [vocabulary.split(text) for text in texts]
             ids = vocabulary.pieces(texts)
@@ -305,16 +312,16 @@ def _stitched(vocabulary: Vocabulary, parts: list[dict], chunk: int) -> bytes:
     return b"".join(out)
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str, *, ids: str = "ids") -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str, *, ids: str = "ids") -> DataFrame:
     """All columns and ``decoded``, the tokens' bytes in order."""
     raw = encoded.sparkSession.sparkContext.broadcast(_checked(ranks_path))
     names = [name for name in encoded.columns if name != "decoded"]
     rows = encoded.select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(raw.value, pattern)
-        for batch in batches:
-            decoded = [vocabulary.decode(x.as_py() or b"") for x in batch.column(names.index(ids))]
+        tokens = _tokens(raw.value)
+        for batch in few_at_once(batches, ids):
+            decoded = [decoded_bytes(x.as_py() or b"", tokens) for x in batch.column(names.index(ids))]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], [*names, "decoded"]
             )

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +22,21 @@ def in_fold(doc_id: str, parts: int, held_out: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % parts == held_out, F.lit(False))
 
 
+def few_at_once(
+    batches: Iterator[pa.RecordBatch], column: str | int, size: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``size`` bytes of ``column``, a longer value by itself: Spark counts rows
+    into a batch, and what a worker makes of them should not take memory by the batch."""
+    for batch in batches:
+        held = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < batch.num_rows:
+            before = held[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(held, before + size, side="right")))
+            yield batch.slice(first, end - first)
+            first = end
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder and read back.
 

@@ -47,6 +47,25 @@ SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS
 FROM alike GROUP BY doc_id, item_id"""
 
 
+#: Every window, and every word of a window that also starts in a document of a smaller id.
+_OP9 = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(array_to_string(w[p : p + 49], ' ')) AS h FROM (
+    SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM docs)),
+sources AS (SELECT h, min(doc_id) AS source FROM windows GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS p FROM windows JOIN sources USING (h) WHERE source < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM placed ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)"""
+
+
 def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
@@ -77,7 +96,7 @@ def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     encoded = bpe.encode(read(spark, sf_dir, "documents"), path, pattern)
-    return bpe.decode(encoded, path, pattern).select(
+    return bpe.decode(encoded, path).select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -130,4 +149,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2}
+    return {"op2_decontaminate": _OP2, "op9_de_bruijn": _OP9}

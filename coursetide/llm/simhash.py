@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursetide.llm.components import components
-from coursetide.llm.inputs import cut_lineage
+from coursetide.llm.inputs import cut_lineage, few_at_once
 
 RADIUS = 2
 #: Words in a shingle and the seed of its hash.
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             prints = np.array([fingerprint(t.as_py()) for t in batch.column(1)], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["doc_id", "fp"])
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursetide.llm.inputs import cut_lineage
+from coursetide.llm.inputs import cut_lineage, few_at_once
 
 CHAIN = 2
 #: Common words of four languages.
@@ -77,7 +77,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             found = [signatures(t.as_py()).view("i8") for t in batch.column(1)]
             values = pa.array(found, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), values], ["doc_id", "signatures"])
@@ -125,7 +125,7 @@ def with_neighbours(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # range, id, text and signatures of the row that waits for its next one
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             done: list[tuple] = []
             for range_, doc, text, guard in zip(
                 *(batch.column(c).to_pylist() for c in ("range", "doc_id", "text", "guard")), strict=True
