@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursetide.llm.inputs import few_at_once
+
 # HTML's elements by how they behave, and names that mark what is not article text.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe textarea title xmp noembed noframes".split())
@@ -47,15 +49,15 @@ _DROPPED = frozenset(
     textarea input label menu dialog search""".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
-_NAMES = frozenset(
-    """ad ads adv advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments commentlist consent
-    cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo
-    promoted related respond share sharing sidebar sidebars signup social sponsor sponsored subscribe subscription toolbar widget
-    widgets""".split()
+_NAMES = frozenset("ad ads adv adbox adslot gdpr login menu menus modal nav pager promo promos reply share shares signup".split())
+#: Names that also count as the beginning or the end of a longer one.
+_LONG_NAMES = tuple(
+    """advert adsense banner breadcrumb comment consent cookie discussion disqus footer masthead navbar navigation newsletter notice
+    pagination popup promoted related replies respond sharing sidebar social sponsor subscri toolbar widget""".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
-_WORDS = re.compile(r"[a-z]+")
+_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 _CLOSING = {name: re.compile(rf"</{name}\s*[^>]*>", re.IGNORECASE) for name in _RAW}
 
@@ -69,17 +71,24 @@ class _Node:
         self.density = self.sum = 0.0
 
 
+def _marks(word: str) -> bool:
+    plural = word.removesuffix("s")
+    return word in _NAMES or word.startswith(_LONG_NAMES) or word.endswith(_LONG_NAMES) or plural.endswith(_LONG_NAMES)
+
+
 def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
     if tag in _DROPPED or (tag == "header" and not inside_article):
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value = "".join(values).lower()
+        words, value = _WORDS.findall("".join(values)), "".join(values).lower()
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in _ROLES):
             return True
-        if name in ("class", "id") and not _NAMES.isdisjoint(_WORDS.findall(value)):
+        if name in ("class", "id") and any(_marks(word.lower()) for word in words):
+            return True
+        if name in ("class", "id") and not inside_article and "header" in value.split():
             return True
     return False
 
@@ -247,10 +256,10 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame, *, html_col: str = "html", out: str = "text") -> DataFrame:
     """``pages`` without the markup but with its main text; a column of that name is replaced."""
     kept = [c for c in pages.columns if c not in (html_col, out)]
-    rows = pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{html_col}`").alias("\0html"))
+    rows = pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{html_col}`").alias("page"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches, len(kept)):
             texts = [main_text(page.as_py()) for page in batch.column(len(kept))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], [*kept, out])
 

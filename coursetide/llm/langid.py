@@ -155,6 +155,9 @@ class Model:
         before = np.concatenate(([0], numbers[:-1])) if len(numbers) else numbers
         kept = (numbers != 0) | ((before != 0) & ~new_text)
         numbers, which = numbers[kept], which[kept]
+        # nor is there a space behind a text's last letter
+        last = np.concatenate((which[1:] != which[:-1], [True])) if len(which) else np.zeros(0, bool)
+        numbers, which = numbers[~last | (numbers != 0)], which[~last | (numbers != 0)]
         size = np.bincount(which, minlength=len(texts))
         blocks_of = -(-size // BLOCK)
         block_text = np.repeat(np.arange(len(texts)), blocks_of)

@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursetide.llm.inputs import cut_lineage
+from coursetide.llm.inputs import cut_lineage, few_at_once
 
 WINDOW, ANCHOR = 50, 25
 #: Documents from which an anchor's windows are aggregated one by one.
@@ -258,7 +258,30 @@ def repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
         F.col("s.doc_id").alias("source_id"),
         F.col("s.start").alias("source_start"),
     )
-    return copies.unionAll(some).unionAll(many)
+    return _compacted(copies.unionAll(some).unionAll(many))
+
+
+def _compacted(paths: DataFrame) -> DataFrame:
+    """Paths that go on where another one of the document and of its source ends are one."""
+    along = Window.partitionBy("doc_id", "text_hash").orderBy("start", "source_id", "source_start")
+    before = F.lag(F.struct("start", "windows", "source_id", "source_start")).over(along)
+    goes_on = (
+        (F.col("b.start") + F.col("b.windows") == F.col("start"))
+        & (F.col("b.source_id") == F.col("source_id"))
+        & (F.col("b.source_start") + F.col("b.windows") == F.col("source_start"))
+    )
+    begun = F.when(goes_on, 0).otherwise(1)
+    numbered = paths.distinct().withColumn("b", before).withColumn("path", F.sum(begun).over(along))
+    return (
+        numbered.groupBy("doc_id", "text_hash", "path")
+        .agg(
+            F.min("start").alias("start"),
+            F.sum("windows").cast("int").alias("windows"),
+            F.min("source_id").alias("source_id"),
+            F.min("source_start").alias("source_start"),
+        )
+        .drop("path")
+    )
 
 
 def without_repeats(docs: DataFrame, paths: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -272,7 +295,7 @@ def without_repeats(docs: DataFrame, paths: DataFrame, *, doc_id: str = "doc_id"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             total, gone, kept = [], [], []
             for t, starts, lengths in zip(*(batch.column(c) for c in ("text", "starts", "lengths")), strict=True):
                 words = (t.as_py() or "").encode().split()
