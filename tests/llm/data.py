@@ -1,0 +1,55 @@
+"""Small awkward tables for the operators."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import types as T
+
+#: Columns that operators use names of themselves.
+CLASHES = ("text_hash", "row", "start", "fp", "range", "guard", "score", "n", "words", "label", "features", "found0", "ids")
+LANGUAGES = {
+    "en": "the river runs down to a quiet harbour where old boats wait for spring and nobody counts the hours".split(),
+    "de": "der fluss zieht durch das stille tal und die alten boote warten auf den frühling ohne eile".split(),
+}
+
+
+def prose(seed: int, n: int, lang: str = "en") -> str:
+    draw = random.Random(seed)
+    return " ".join(draw.choice(LANGUAGES[lang]) + ("" if draw.random() < 0.9 else str(draw.randrange(99))) for _ in range(n))
+
+
+def documents(spark, rows, clash: bool = False):
+    """``rows`` of (doc_id, text[, lang])."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    whole = [(i, t, *(rest or ["en"]), "src", None if t is None else len(t)) for i, t, *rest in rows]
+    df = spark.createDataFrame(whole, schema)
+    if clash:
+        from pyspark.sql import functions as F
+
+        df = df.select("*", *(F.lit("own").alias(c) for c in CLASHES))
+    return df
+
+
+def awkward():
+    """Ids and texts: nulls, empty, blank, repeated rows, ties, very long, odd characters."""
+    long = prose(1, 30_000)
+    return [
+        (1, prose(2, 120)),
+        (2, prose(2, 120)),
+        (3, None),
+        (4, ""),
+        (5, " \n\t "),
+        (6, long),
+        (7, long + " end"),
+        (8, "one"),
+        (9, "𝔘nicode     ünï \x00 ퟿ 漢字 " * 20),
+        (10, prose(3, 80)),
+        (10, prose(3, 80)),
+        (11, "a" * 50_000),
+        (None, prose(2, 120)),
+        (None, None),
+    ]
+
+
+EMPTY = T.StructType()

@@ -1,0 +1,71 @@
+"""Against a plain pass over the sorted rows and all pairs."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from coursetide.llm import spotsigs
+
+from .data import awkward, documents, prose
+
+
+def plain(rows):
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    out = []
+    for k, (i, text) in enumerate(order):
+        text, following = text or "", order[(k + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, changed, theirs = map(spotsigs.signatures, (text, edited, following))
+        digest = hashlib.sha256(edited.encode()).hexdigest()
+        near = (spotsigs.likeness(own, changed), spotsigs.likeness(own, theirs))
+        out.append((str(i), len(text), digest, spotsigs.written(own), spotsigs.written(changed), *near))
+    return sorted(out)
+
+
+def got(docs):
+    return sorted((str(r[0]), *r[1:]) for r in spotsigs.with_neighbours(docs).collect())
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 40])
+def test_neighbours(spark, monkeypatch, ranges):
+    monkeypatch.setattr(spotsigs, "RANGES", ranges)
+    rows = awkward() + [(100 + 7 * k, prose(k, 20 + k)) for k in range(60)]
+    assert got(documents(spark, rows, clash=True)) == plain(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, "only one row of text")], [(None, "a b"), (None, None)], [(5, "x")] * 3])
+def test_few_rows(spark, rows):
+    assert got(documents(spark, rows)) == plain(rows)
+
+
+def test_signatures():
+    of = spotsigs.signatures
+    assert len(of("")) == len(of(" .,! ")) == 0
+    assert len(of("one")) == 1 and (of("One!") == of("one")).all()
+    text = "At a rally to kick off a weeklong campaign"
+    assert len(of(text)) == len({"| rally kick", "at rally kick", "a rally kick", "to kick off", "a weeklong campaign"})
+    assert spotsigs.likeness(of(text), of(text)) == 1.0 == spotsigs.likeness(of(""), of(""))
+    assert spotsigs.likeness(of(text), of("")) == 0.0 == spotsigs.likeness(of(text), of("quite another one"))
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.8])
+def test_matches_equal_all_pairs(spark, threshold):
+    rows = [(i, t) for i, t in awkward()]
+    for k in range(12):
+        words = prose(k // 4, 200).split()
+        words[k % 4 * 40 : k % 4 * 40 + 10 * (k % 4)] = ["new", "words"]
+        rows.append((200 + k, " ".join(words)))
+    prints = spotsigs.fingerprints(documents(spark, rows, clash=True))
+    classes = {r.class_id: set(r.signatures) for r in spotsigs.classes(prints).collect() if r.signatures}
+    ids = sorted(classes)
+    want = {
+        (a, b)
+        for k, a in enumerate(ids)
+        for b in ids[k + 1 :]
+        if len(classes[a] & classes[b]) >= threshold * len(classes[a] | classes[b])
+    }
+    assert {(r.a, r.b) for r in spotsigs.matches(prints, threshold).collect()} == want
+    assert want
