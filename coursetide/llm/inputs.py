@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,17 @@ from pyspark.sql import functions as F
 from coursetide.session import scratch_dir
 
 
+def findable(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, if that is a folder they see;
+    elsewhere it is installed or sent along as any package is."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, root]))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    findable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
