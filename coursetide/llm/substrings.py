@@ -246,14 +246,17 @@ def repeated(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
             f"doc_id {kind}, text_hash long, start int, windows int, source_id {kind}, source_start int",
         )
     )
-    many = edges.where("hot").select("anchor", "doc_id", "text_hash", "start", F.posexplode("windows").alias("n", "edge"))
-    many = many.withColumn("start", F.col("start") + F.col("n"))
-    source = many.groupBy("anchor", "edge").agg(F.min(F.struct("doc_id", "start")).alias("s"))
+    # a run that repeats an edge, such as one word over and over, has one row for it, with all its places
+    many = edges.where("hot").withColumn("edge", F.explode(F.array_distinct("windows")))
+    places = F.expr("transform(filter(sequence(0, size(windows) - 1), i -> windows[i] = edge), i -> start + i)")
+    many = many.select("anchor", "edge", "doc_id", "text_hash", places.alias("places"))
+    first_place = F.struct("doc_id", F.col("places")[0].alias("start"))
+    source = many.groupBy("anchor", "edge").agg(F.min(first_place).alias("s"))
     many = many.join(source, ["anchor", "edge"]).where("doc_id > s.doc_id")
     many = many.select(
         "doc_id",
         "text_hash",
-        "start",
+        F.explode("places").alias("start"),
         F.lit(1).alias("windows"),
         F.col("s.doc_id").alias("source_id"),
         F.col("s.start").alias("source_start"),
