@@ -7,7 +7,7 @@ format: digits by digits, letters by letters of their case, other signs not at a
 
 | kind | taken if | permuted |
 | --- | --- | --- |
-| card | 13 to 19 digits with a right Luhn digit | all digits but the first; new check digit |
+| card | 13 to 19 digits with a right Luhn digit, up to a separator if other digits follow | all digits but the first; new check digit |
 | iban | right check digits (mod 97) | account part; new check digits |
 | ssn | area, group and serial that can be issued | among those |
 | phone | international with 8 to 15 digits, or ten digits grouped 3-3-4 | digits behind the country code |
@@ -44,7 +44,11 @@ _SLASHED = r"\d{1,2}/\d{1,2}/(?:19|20)\d\d(?!/?\d)"
 _SSN = r"\d{3}-\d{2}-\d{4}(?!-?\d)"
 _ABROAD = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
 _HOME = r"(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d)"
-_CARD = r"\d(?:[ -]?\d){12,18}(?![ -]?\d)"
+#: Up to 19 digits if no others follow; else groups and runs as cards are written, whatever follows them.
+_CARD = "|".join((
+    r"\d(?:[ -]?\d){12,18}(?![ -]?\d|[./]\d)", r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}(?!\d|[-./]\d)", r"\d{4}(?:[ -]\d{4}){3}(?!\d)",
+    r"\d{4}[ -]\d{6}[ -]\d{5}(?!\d)", r"\d{13,19}(?!\d)",
+))
 _FIRST_DAY, _DAYS = "1900-01-01", 73049
 PATTERN = r"(?<![\p{L}\p{N}_])(?:" + "|".join(
     (_EMAIL, _NAMED + _SECRET, _AWS, _IBAN, _IP, _ISO, _DOTTED, _SLASHED, _SSN, _ABROAD, _HOME, _CARD)
@@ -142,10 +146,14 @@ def _mod97(chars: str) -> str:
 
 def _pseudonym(k: _Key) -> str:
     """SQL for the pseudonym of the match ``m``, or ``m`` itself if it fails the test of its kind."""
-    card = _let("d", _only("0-9"), f"if({_luhn('d')} = 0, " + _let(
+    card = _let("m", "substr(m, 1, i)", _let("d", _only("0-9"), _let(
         "p", f"concat(substr(d, 1, 1), {k.text('substr(d, 2, length(d) - 2)', 'card')})",
         _let("full", f"concat(p, (10 - {_luhn(chr(99) + 'oncat(p, ' + repr('0') + ')')}) % 10)", _refit("0-9", "full")),
-    ) + ", m)")
+    )))
+    # the longest part from the start, up to a separator, that has a right check digit
+    ends = "filter(sequence(length(m), least(13, length(m)), -1), i -> substr(m, i + 1, 1) in ('', ' ', '-') and substr(m, i, 1) between '0' and '9')"
+    right = _let("d", _only("0-9", "substr(m, 1, i)"), f"length(d) >= 13 and {_luhn('d')} = 0")
+    card = _let("i", f"get(filter({ends}, i -> {right}), 0)", f"if(i is null, m, concat({card}, substr(m, i + 1)))")
     iban = _let("d", _only("A-Z0-9"), f"if({_mod97('concat(substr(d, 5), substr(d, 1, 4))')} = 1, " + _let(
         "p", k.text("substr(d, 5)", "iban"),
         _let("full", f"concat(substr(d, 1, 2), lpad(cast(98 - {_mod97('concat(p, substr(d, 1, 2), ' + repr('00') + ')')} as string), 2, '0'), p)", _refit("A-Z0-9", "full")),
@@ -203,7 +211,7 @@ def pseudonymise(
     """``docs`` with ``text`` rewritten; ``count`` names a column to add, the values that changed.
 
     ``back`` gives the originals of texts that were rewritten under ``key``, except where a slashed date
-    could be read both ways.
+    could be read both ways, or where digits behind a new card number happen to make a longer one right.
     """
     taken = set(docs.columns) | {count}
     pieces, found, new = (next(n for i in range(len(taken) + 1) if (n := f"{name}{i}") not in taken) for name in ("pieces", "found", "new"))

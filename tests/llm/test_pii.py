@@ -96,3 +96,21 @@ def test_no_python_in_the_plan(spark, capsys):
 @pytest.mark.parametrize("text", ["1" * 100_000, "a.b@" * 20_000, "+1 " * 30_000, "a" * 200_000 + "1", "AKIA" * 20_000, "12-" * 30_000])
 def test_long_runs_end_soon(spark, text):
     assert rewritten(spark, [text])[0] is not None
+
+
+CARD = "4041894974608795"
+GROUPED = "4041 8949 7460 8795"
+BEHIND = [" 12/27", " 123", " 2024-05-01", " 12/03/2025", " 555-123-4567", " 123 12/27", " 12-27", ". 5", " 10.0.0.1"]
+
+
+def test_cards_with_digits_behind(spark):
+    cards = [CARD, GROUPED, "3782 822463 10005", "378282246310005"]
+    texts = [card + rest for card in cards for rest in BEHIND]
+    assert all(luhn(re.sub(r"\D", "", card)) for card in cards)
+    new = rewritten(spark, texts)
+    for k, (text, got) in enumerate(zip(texts, new, strict=True)):
+        card, rest = cards[k // len(BEHIND)], BEHIND[k % len(BEHIND)]
+        assert got[: len(card)] != card, (text, got)
+        assert rest == " 10.0.0.1" or re.sub(r"\d", "", got) == re.sub(r"\d", "", text)
+        if rest in (" 2024-05-01", " 12/03/2025", " 555-123-4567"):
+            assert got[len(card) :] != rest, (text, got)
