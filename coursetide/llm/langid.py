@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of labelled text per language and of all languages together, rows they are drawn from and
-#: what one row may give. Languages beyond the most frequent ones are not learned.
-CHARS, ALL_CHARS, ROWS, ROW_CHARS, LANGUAGES = 40_000, 600_000, 200, 4_000, 64
+#: what one row may give. All languages are learned: the more there are, the fewer characters of each, down to ``LEAST``.
+CHARS, ALL_CHARS, ROWS, ROW_CHARS, LEAST = 40_000, 600_000, 200, 4_000, 1_000
 #: Letters that a language's automaton knows, the most frequent ones; others end a phrase.
 LETTERS = 250
 BLOCK, AT_ONCE = 512, 1 << 20
@@ -53,17 +53,17 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     known = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")).where(
         "lang is not null and text is not null"
     )
-    counted = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    rate = F.lit(0.0)
-    for row in counted:
-        rate = F.when(F.col("lang") == row["lang"], min(1.0, ROWS / row["n"])).otherwise(rate)
+    counted = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").collect()
+    limit = min(CHARS, max(LEAST, ALL_CHARS // max(1, len(counted))))
+    rows_each, row_chars = max(30, ROWS * limit // CHARS), min(ROW_CHARS, limit)
+    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, rows_each / r["n"])) for r in counted], "lang string, rate double")
     spread = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20))
-    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - ROW_CHARS)).cast("int") + 1
-    drawn = known.where(spread < rate * (1 << 20)).select("doc_id", "lang", F.substr("text", place, F.lit(ROW_CHARS)).alias("text"))
+    place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - row_chars)).cast("int") + 1
+    some = known.join(F.broadcast(rates), "lang").where(spread < F.col("rate") * (1 << 20))
+    drawn = some.select("doc_id", "lang", F.substr("text", place, F.lit(row_chars)).alias("text"))
     texts: dict[str, list[str]] = {}
     for row in drawn.orderBy("doc_id", "text").collect():
         texts.setdefault(row["lang"], []).append(normalised(row["text"]))
-    limit = min(CHARS, ALL_CHARS // max(1, len(texts)))
     found = {k: " ".join(filter(None, v))[:limit] for k, v in texts.items()}
     names = tuple(row["lang"] for row in counted if found.get(row["lang"]))
     return Sample(names, tuple(found[name] for name in names))

@@ -84,3 +84,15 @@ def test_held_out_rows(spark):
     assert len(rows) == len(truth)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.97 * len(held) > 0
+
+
+def test_all_of_many_languages_are_learned(spark):
+    """Each has words of its own; the last by name has the fewest rows."""
+    draw = random.Random(5)
+    words = [["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for _ in range(80)]
+    rows = [(100 * k + j, " ".join(draw.choices(words[k], k=30)), f"l{k:02}") for k in range(80) for j in range(2 + (k < 60))]
+    sample = langid.learn(documents(spark, rows))
+    assert len(sample.languages) == 80
+    asked = [(k, " ".join(draw.choices(words[k], k=20))) for k in range(80)]
+    got = langid.identify(documents(spark, asked), sample).collect()
+    assert all(r.lang_pred == f"l{r.doc_id:02}" for r in got)
