@@ -79,10 +79,14 @@ def contaminated(
     item_text: str = "text",
     threshold: float = THRESHOLD,
     shingle: int = SHINGLE,
+    short: bool = False,
 ) -> DataFrame:
     """A row per document and item found in it: ``doc_id``, ``text_hash``, ``item_id``, the word
     position ``start`` (from 1) of the first best window, ``bits`` by which its fingerprint
-    differs and its ``similarity``."""
+    differs and its ``similarity``.
+
+    A document of fewer words than the item has no window; with ``short`` all of it is the one window.
+    """
     bench = (
         items.select(F.col(item_id).alias("item_id"), words(F.col(item_text)).alias("w"))
         .where("size(w) > 0")
@@ -104,17 +108,16 @@ def contaminated(
 
     def met(k: int) -> DataFrame:
         placed = rows.select(
-            "doc_id", "text_hash", F.posexplode(_shingles("words", str(k))).alias("pos", "h")
+            "doc_id", "text_hash", F.expr(f"size(words) - {k} + 1").alias("b"), F.posexplode(_shingles("words", str(k))).alias("pos", "h")
         )
-        return placed.join(wanted.where(F.col("k") == k), "h").select("doc_id", "text_hash", "item", "a", "need", "pos")
+        return placed.join(wanted.where(F.col("k") == k), "h").select("doc_id", "text_hash", "item", "a", "b", "need", "pos")
 
-    none = rows.where("false").select("doc_id", "text_hash", F.lit(0).alias("item").cast("long"), F.lit(0).alias("a"), F.lit(0).alias("need"), F.lit(0).alias("pos"))
+    none = rows.where("false").select("doc_id", "text_hash", F.lit(0).alias("item").cast("long"), F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("need"), F.lit(0).alias("pos"))
     hits = functools.reduce(DataFrame.unionAll, map(met, sizes), none)
     # runs of positions that hold enough of an item's shingles for a window over them
+    placed = hits.groupBy("doc_id", "text_hash", "item", "a", "b", "need").agg(F.sort_array(F.collect_set("pos")).alias("p"))
     runs = (
-        hits.groupBy("doc_id", "text_hash", "item", "a", "need")
-        .agg(F.sort_array(F.collect_set("pos")).alias("p"))
-        .where("size(p) >= need")
+        placed.where("b >= a and size(p) >= need")
         .withColumn(
             "start",
             F.explode(
@@ -127,6 +130,9 @@ def contaminated(
         )
         .select("doc_id", "text_hash", "item", "start")
     )
+    if short:  # b shingles share at least t (a + b) / (1 + t) with the item's a
+        whole = placed.where(f"b < a and size(p) >= {threshold / (1 + threshold)!r} * (a + b) - 1e-9")
+        runs = runs.unionAll(whole.select("doc_id", "text_hash", "item", F.lit(0).alias("start")))
     runs = cut_lineage(runs)
     keys, any_left = _near(runs.select("doc_id", "text_hash").distinct())
     found_in = rows.join(keys, [rows.doc_id.eqNullSafe(keys.doc_id), rows.text_hash == keys.text_hash], "left_semi")
@@ -137,7 +143,7 @@ def contaminated(
     windows = (
         w.join(r, F.col("w.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("w.text_hash") == F.col("r.text_hash")))
         .join(bench.alias("i"), F.col("r.item") == F.col("i.item"))
-        .where("r.start + i.a + i.k - 1 <= size(w.words)")
+        .where("r.start = 0 or r.start + i.a + i.k - 1 <= size(w.words)")
         .select("w.doc_id", "w.text_hash", "i.item", "i.item_id", "i.item_shingles", "r.start", F.expr("slice(w.words, r.start + 1, i.a + i.k - 1)").alias("ww"), "i.k")
         .withColumn("shingles", _shingles("ww", "k"))
         .drop("ww")

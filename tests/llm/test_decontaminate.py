@@ -95,3 +95,33 @@ def test_no_documents_or_items(spark):
 def test_near_values_cover_the_radius():
     """Of 8 parts, one has at most 2 of 23 differing bits."""
     assert dc.RADIUS < dc.BLOCKS * (dc.NEAR + 1)
+
+
+def test_documents_shorter_than_the_item(spark):
+    """All windows of 60 words, or the whole of a shorter document."""
+    item = prose(500, 60).split()
+    more = rows() + [(70 + k, " ".join(item[: 60 - k])) for k in range(20)] + [(100 + k, " ".join(item[k:])) for k in range(1, 20)]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for threshold in (0.8, 0.6):
+        want = plain(more, ITEMS, threshold)
+        for i, text in more:
+            words = split(text)
+            for n, own in ((n, split(t)) for n, t in ITEMS):
+                k = min(5, len(own))
+                if own and k <= len(words) < len(own):
+                    bag, window = shingles(own, k), shingles(words, k)
+                    both = sum((bag & window).values())
+                    alike = both / (sum(bag.values()) + sum(window.values()) - both)
+                    if alike >= threshold:
+                        want.add((i, n, 1, round(alike, 9)))
+        assert found(documents(spark, more), items, short=True, threshold=threshold) == want
+        assert (72, 1) in {w[:2] for w in want}
+
+
+def test_the_stage_takes_out_most_of_an_item(spark, tmp_path):
+    import corpus_pipeline as cp
+
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(spark, [(1, " ".join(prose(500, 60).split()[:58])), (2, prose(9, 40))])
+    assert [r.doc_id for r in cp.without_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
