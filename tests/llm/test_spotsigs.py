@@ -69,3 +69,15 @@ def test_matches_equal_all_pairs(spark, threshold):
     }
     assert {(r.a, r.b) for r in spotsigs.matches(prints, threshold).collect()} == want
     assert want
+
+
+def test_all_of_a_text_without_anchors_counts():
+    of = spotsigs.signatures
+    own = [f"slovo{k}" for k in range(200)]
+    text, other = " ".join(own), " ".join([*own[:2], *(f"jine{k}" for k in range(198))])
+    assert len(of(text)) == 200
+    assert spotsigs.likeness(of(text), of(other)) < 0.01
+    assert 0.9 < spotsigs.likeness(of(text), of(" ".join([*own[:100], "nove", *own[101:]]))) < 1
+    assert spotsigs.likeness(of("milk bread eggs"), of("milk bread soap")) < 1
+    # nor does what stands behind a text's only anchors get lost
+    assert spotsigs.likeness(of(f"the {text}"), of(f"the {other}")) < 0.02
