@@ -1,8 +1,8 @@
 """From raw documents to token ids: five stages, each over all that its predecessor kept.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of ``documents``. Rows are told apart by their position in the stored table they are read from, so
-repeated rows and ids are fine; a null id or text is kept as far as a stage's rule allows.
+of ``documents``. Where rows must be told apart they are numbered and written first, so repeated
+rows and ids are fine; a null id or text is kept as far as a stage's rule allows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, near_texts, pii, quality
+from coursetide.llm import bpe, decontaminate, pii, quality, simhash
 from coursetide.llm.inputs import cut_lineage, findable, in_fold, read
 from coursetide.llm.queries import PII_KEY, RANKS
 
@@ -35,13 +35,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id, null ids last.
 
-    Groups are linked by a Jaccard similarity of 0.8 or more over runs of five words.
+    Groups are those of ``simhash``: fingerprints over runs of three words, linked at two or fewer
+    differing bits. Rows are written with a number of their own first, which holds however often a
+    scan is planned or a task runs again.
     """
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.monotonically_increasing_id().alias("row"))
-    rows = docs.select(*COLUMNS, place.alias("place"))
-    grouped = near_texts.near_duplicates(rows, doc_id="place")
+    rows = cut_lineage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row")))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row"))
+    prints = cut_lineage(simhash.fingerprints(rows.select("text", place.alias("place")), doc_id="place"))
+    grouped = simhash.near_duplicates(prints)
     kept = grouped.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias("row"))
-    return rows.withColumn("row", F.col("place.row")).join(kept, "row", "left_semi").select(*COLUMNS)
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
