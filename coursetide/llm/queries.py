@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coursetide.llm import bpe, decontaminate, html_text, langid, pii, quality, simhash, spotsigs, substrings, toxicity
+from coursetide.llm import (
+    bpe,
+    decontaminate,
+    html_text,
+    langid,
+    pii,
+    prefix_trie,
+    quality,
+    repair,
+    secrets,
+    simhash,
+    spotsigs,
+    substrings,
+    toxicity,
+)
 from coursetide.llm.inputs import cut_lineage, in_fold, read
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -66,6 +80,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+#: CRC-32 of text of ASCII characters, bit by bit: each byte is put in and followed by eight shifts.
+_CRC = """xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split({0}, ''),
+    lambda ch: list_prepend(CAST(ascii(ch) AS BIGINT), [CAST(-1 AS BIGINT) for _ in range(8)])))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295)"""
+
+
+#: Every beginning of every rebuilt conversation as a list of its turns, grouped.
+_OP12 = f"""
+WITH own AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS t
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+hashed AS (SELECT conv_id, t, {_CRC.format("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(p.t[1:c.h], []), c.t[c.h + 1:]) AS t
+  FROM hashed AS c LEFT JOIN own AS p ON p.conv_id = c.conv_id - c.conv_id % 5),
+nodes AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, any_value(coalesce(strlen(k[d].t), 0)) AS bytes,
+    coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = size), '') AS ends
+  FROM (SELECT conv_id, len(t) AS size, d, t[1:d] AS k FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt))
+  GROUP BY k, d),
+children AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+trees AS (
+  SELECT k, sum((n - 1) * bytes) AS saved, count(*) FILTER (leaf) AS leaves FROM (
+    SELECT nodes.k[1:a] AS k, n, bytes, leaf FROM (
+      SELECT nodes.k, n, bytes, n_children IS NULL AS leaf, unnest(range(0, d + 1)) AS a
+      FROM nodes LEFT JOIN children ON nodes.k = children.k) AS nodes) GROUP BY k)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n AS n_convs, coalesce(n_children, 0) AS n_children,
+  leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes AS v JOIN trees ON v.k = trees.k LEFT JOIN children ON v.k = children.k
+LEFT JOIN nodes AS u ON v.d > 0 AND u.k = v.k[1:v.d - 1]"""
+
+
 def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html_text.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
@@ -143,10 +189,49 @@ def op10_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.audits(repair.damaged(read(spark, sf_dir, "conversations")), counted=True)
+    return found.select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"
+    )
+
+
+def op12_z_fast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.own_turns(read(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_nodes(prefix_trie.with_shared_beginnings(own))
+
+
+def op13_decoding_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.secrets(read(spark, sf_dir, "documents"))
+
+    def listed(spans: str) -> F.Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> F.Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.sha2(listed("base"), 256).alias("base_sha256")
+    return found.select("doc_id", *map(number, secrets.KINDS), base, listed("spans").alias("spans"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    registered = (op1_text_density, op2_decontaminate, op3_pii_feistel, op4_cross_parsing, op5_spotsigs, op6_byte_bpe, op7_bradley_terry, op8_simhash, op9_de_bruijn, op10_clause_grammar)
+    registered = (
+        op1_text_density,
+        op2_decontaminate,
+        op3_pii_feistel,
+        op4_cross_parsing,
+        op5_spotsigs,
+        op6_byte_bpe,
+        op7_bradley_terry,
+        op8_simhash,
+        op9_de_bruijn,
+        op10_clause_grammar,
+        op11_branch_and_bound,
+        op12_z_fast_trie,
+        op13_decoding_worklist,
+    )
     return {query.__name__: query for query in registered}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": _OP2, "op9_de_bruijn": _OP9}
+    return {"op2_decontaminate": _OP2, "op9_de_bruijn": _OP9, "op12_z_fast_trie": _OP12}

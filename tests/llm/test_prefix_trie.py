@@ -1,0 +1,138 @@
+"""Against lists of turns compared outright."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from coursetide.llm import prefix_trie
+
+from .data import CLASHES
+
+NAMES = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def table(spark, rows, clash=False):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return df.select("*", *(F.lit("own").alias(c) for c in (*CLASHES, "turns", "path", "end", "n", "cum"))) if clash else df
+
+
+def own(rows):
+    """Turns of each conversation in order; those of one turn in the order of their digests."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            digest = hashlib.md5(f"{len(role)}:{role}{text}".encode()).digest()
+            out[conv].append(((turn is not None, turn or 0, digest), (role, text)))
+    return {c: [t for _, t in sorted(turns)] for c, turns in out.items()}
+
+
+def rebuilt(convs):
+    out = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        out[c] = convs.get(c - c % 5, [])[:h] + turns[h:]
+    return out
+
+
+def plain(convs):
+    members = defaultdict(list)
+    for c, turns in convs.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    out = []
+    for key, own in members.items():
+        below = [k for k in members if k[: len(key)] == key]
+        children = [k for k in below if len(k) == len(key) + 1]
+        leaves = [k for k in below if not any(len(m) > len(k) and m[: len(k)] == k for m in below)]
+        saved = sum((len(members[k]) - 1) * len(k[-1][1].encode()) for k in below if k)
+        ends = ",".join(map(str, sorted(c for c in own if len(convs[c]) == len(key))))
+        parent = min(members[key[:-1]]) if key else None
+        out.append((min(own), len(key), parent, len(own), len(children), len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted((tuple(r[name] for name in NAMES) for r in df.collect()), key=str)
+
+
+def conversations(seed, n, depth, choices):
+    draw = random.Random(seed)
+    return [
+        (c, t, "user" if t % 2 == 0 else "assistant", f"{draw.randrange(choices)} ä" * draw.randrange(1, 3))
+        for c in range(n)
+        for t in range(draw.randrange(depth + 1))
+    ]
+
+
+@pytest.mark.parametrize(("seed", "n", "depth", "choices"), [(1, 60, 6, 2), (2, 40, 40, 1), (3, 80, 3, 5)])
+def test_equals_plain(spark, seed, n, depth, choices):
+    rows = conversations(seed, n, depth, choices)
+    got = prefix_trie.prefix_nodes(prefix_trie.own_turns(table(spark, rows)))
+    assert found(got) == plain(own(rows))
+
+
+def test_rebuilt_conversations_equal_plain(spark):
+    rows = conversations(4, 70, 12, 3)
+    rows = [r for r in rows if r[0] not in (0, 10)]  # families without a first
+    shared = prefix_trie.with_shared_beginnings(prefix_trie.own_turns(table(spark, rows)))
+    got = found(prefix_trie.prefix_nodes(shared))
+    assert got == plain(rebuilt(own(rows)))
+    assert any(r[1] == 0 and r[7] != prefix_trie.EMPTY_SHA for r in got)  # some are left without turns
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, 0, "user", "a"),
+        (1, 0, "user", "a"),
+        (1, None, None, None),
+        (2, None, "", ""),
+        (2, 1, "user", "a"),
+        (2, 1, "user", "a"),
+        (3, 1, "us", "er"),
+        (4, 1, "user", ""),
+        (5, 1, "user", "漢字" * 40_000),
+        (5, 2, "assistant", "b"),
+        (6, 1, "user", "漢字" * 40_000),
+        (None, 1, "user", "a"),
+    ]
+    got = prefix_trie.prefix_nodes(prefix_trie.own_turns(table(spark, rows, clash=True)))
+    assert found(got) == plain(own(rows))
+
+
+def test_many_copies_and_a_comb(spark):
+    """A third of all are equal; of the rest each leaves one path a turn later than the one before."""
+    rows = [(c, t, "user", str(t)) for c in range(30) for t in range(3)]
+    rows += [(100 + c, t, "user", str(t) if t < c else f"own {c}") for c in range(40) for t in range(c + 1)]
+    got = prefix_trie.prefix_nodes(prefix_trie.own_turns(table(spark, rows)))
+    assert found(got) == plain(own(rows))
+
+
+def test_fattest_numbers(spark):
+    pairs = [(a, b) for b in range(1, 70) for a in range(b)]
+    rows = spark.createDataFrame(pairs, "a int, b int").select("a", "b", prefix_trie.fattest(F.col("a"), F.col("b")).alias("f"))
+    for r in rows.collect():
+        assert r.f == max(range(r.a + 1, r.b + 1), key=lambda k: k & -k)
+
+
+def test_search_finds_the_last_node_on_a_path(spark):
+    rows = conversations(6, 60, 12, 2)
+    paths = prefix_trie._paths(prefix_trie.own_turns(table(spark, rows)))
+    paths = paths.dropDuplicates(["end"])
+    trie = prefix_trie.trie_of(paths.where("conv_id % 3 > 0"))
+    nodes = {bytes(r.id) for r in trie.collect()}
+    pending = paths.select("end", F.size("path").alias("n"), "path", "cum", F.lit(0).alias("a"))
+    for r in prefix_trie.search(pending, trie, 4).collect():
+        on_path = [d for d, digest in enumerate([b"", *map(bytes, r.path)]) if digest in nodes]
+        assert r.a == max(on_path)
+
+
+def test_no_rows(spark):
+    assert prefix_trie.prefix_nodes(prefix_trie.own_turns(table(spark, []))).count() == 0
+    assert prefix_trie.prefix_nodes(prefix_trie.own_turns(table(spark, [(None, 1, "user", "a")]))).count() == 0
