@@ -119,6 +119,26 @@ def user_progress_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_silver(_silver(spark, sf_dir))
 
 
+def silver_late_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver kept up with the stream over three arrivals. The last one holds an eighth of the events, of days
+    that were published before."""
+    folder = scratch_dir(spark, "late")
+    late = F.crc32(F.col("event_id").cast("binary")) % 8 == 0
+    arrival = F.when(late, 2).when(F.dayofmonth("event_date") <= 15, 0).otherwise(1)
+    events = _bronze(spark, sf_dir).withColumn("arrival", arrival)
+    for number in range(3):
+        log = as_records(events.where(F.col("arrival") == number))
+        if number == 1:
+            log = log.unionByName(stray_records(spark, sf_dir))
+        log.repartition(spark.sparkContext.defaultParallelism).write.mode("append").parquet(f"{folder}/log")
+        records = ct.replay_records(spark, f"{folder}/log")
+        ct.ingest(records, f"{folder}/bronze", f"{folder}/ingested", catch_up=True).awaitTermination()
+        ct.follow_silver(
+            spark, f"{folder}/bronze", f"{folder}/silver", f"{folder}/followed", catch_up=True
+        ).awaitTermination()
+    return _flat_silver(ct.read_silver(spark, f"{folder}/silver"))
+
+
 def silver_publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Backfill all days the table has, run one of them again, read the table."""
     path = scratch_dir(spark, "silver")
@@ -263,6 +283,63 @@ def course_completion_yesterday(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.course_completion(bronze.withColumn("event_date", moved), COURSE)
 
 
+# --- KPIs and counts from day tables ----------------------------------------------------
+
+RANGE = ("2024-01-08", "2024-01-21")
+
+
+def _day_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """States and bitmaps of all days, stray records included. An eighth of the events comes late: their days are
+    replaced, and the stray ones' too."""
+    root, path = scratch_dir(spark, "day-tables"), scratch_dir(spark, "bronze")
+    _bronze_with_strays(spark, sf_dir).hint("rebalance", "event_date").write.partitionBy("event_date").parquet(path)
+    bronze = ct.read_bronze(spark, path)
+    late = F.coalesce(F.crc32(F.col("event_id").cast("binary")) % 8 == 0, F.lit(True))
+    for rows, only in ((bronze.where(~late), ~late), (bronze, late)):
+        days = [r.event_date for r in bronze.where(only).select("event_date").distinct().collect()]
+        ct.refresh_day_tables(rows, ct.user_progress_between(rows), root, days)
+    return ct.read_day_tables(spark, root)
+
+
+def silver_kpis_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.silver_kpis_of(ct.merge_states(_day_tables(spark, sf_dir)[0]))
+
+
+def engagement_distribution_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.engagement_distribution_of(ct.merge_states(_day_tables(spark, sf_dir)[0], *RANGE))
+
+
+def events_by_type_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.events_by_type_of(ct.merge_states(_day_tables(spark, sf_dir)[0]))
+
+
+def top_courses_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.top_courses_of(ct.merge_states(_day_tables(spark, sf_dir)[0], *RANGE))
+
+
+def avg_quiz_score_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.avg_quiz_score_per_course_of(ct.merge_states(_day_tables(spark, sf_dir)[0], *RANGE))
+
+
+def most_watched_videos_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.most_watched_videos_of(ct.merge_states(_day_tables(spark, sf_dir)[0], *RANGE))
+
+
+def distinct_counts_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ct.distinct_counts(_day_tables(spark, sf_dir)[1], *RANGE)
+
+
+def distinct_counts_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ct.distinct_by_day(_day_tables(spark, sf_dir)[1])
+    return counts.withColumn("event_date", F.col("event_date").cast("string"))
+
+
+def health_status_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of all days and of the records without one, no event being read for it."""
+    states, bitmaps = _day_tables(spark, sf_dir)
+    return ct.pipeline_health_of(ct.merge_states(states), ct.distinct_counts(bitmaps))
+
+
 # --- extracts -------------------------------------------------------------------------
 
 
@@ -302,6 +379,7 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         daily_run,
         user_progress_day,
         user_progress_backfill,
+        silver_late_days,
         silver_publish_roundtrip,
         silver_publish_files,
         silver_partition_counts,
@@ -324,6 +402,15 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         completed_users_written_day,
         course_completion,
         course_completion_yesterday,
+        silver_kpis_states,
+        engagement_distribution_states,
+        events_by_type_states,
+        top_courses_states,
+        avg_quiz_score_states,
+        most_watched_videos_states,
+        distinct_counts_range,
+        distinct_counts_by_day,
+        health_status_states,
         kpi_csv_roundtrip,
         kpi_csv_videos,
         kpi_csv_completion,
@@ -420,6 +507,28 @@ UNION ALL
 SELECT 'loose_any_quiz', '{COURSE}', count(*) FROM (SELECT DISTINCT user_id FROM lms WHERE {_SUBMITTED})"""
 
 
+_KPIS = """
+SELECT round(avg(quiz_completion_rate_percent), 1) AS "avg_quiz_completion_%",
+  round(avg(video_completion_rate_percent), 1) AS "avg_video_completion_%",
+  round(avg(completion_score), 1) AS avg_completion_score
+FROM silver"""
+
+_LEVELS = """
+SELECT engagement_level, count(*) AS "count",
+  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM silver WHERE {0}) * 100, 1) AS percentage
+FROM silver WHERE {0} GROUP BY engagement_level"""
+
+
+def _distinct_sql(rows: str, by: str) -> str:
+    """Null counts as a value, as it does among distinct rows."""
+    listed = f"{by}, " if by else ""
+    return " UNION ALL ".join(
+        f"SELECT {listed}'{column}' AS column_name, count(*) AS distinct_values "
+        f"FROM (SELECT DISTINCT {listed}{column} {rows}) {f'GROUP BY {by}' if by else ''}"
+        for column in ct.COUNTED
+    )
+
+
 def _health_sql(bronze: str) -> str:
     # Columns of stray records are null, and DISTINCT keeps null as one value.
     return f"""
@@ -465,6 +574,7 @@ def oracle_sql() -> dict[str, str]:
     with_strays = _LMS + _STRAYS + " SELECT * FROM strays"
     required = ", ".join(f"('{name}')" for name in REQUIRED)
     stamped = f"SELECT *, '{DAY}' AS metric_date FROM"
+    in_range = "event_date BETWEEN '{}' AND '{}'".format(*RANGE)
     ours = {
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
@@ -493,21 +603,12 @@ def oracle_sql() -> dict[str, str]:
         "health_status": silver + _health_sql("lms"),
         "health_status_strays": _LMS + _STRAYS + _SILVER + _health_sql("strays"),
         "table_profile": _profile_sql(),
-        "silver_kpis": silver
-        + """
-SELECT round(avg(quiz_completion_rate_percent), 1) AS "avg_quiz_completion_%",
-  round(avg(video_completion_rate_percent), 1) AS "avg_video_completion_%",
-  round(avg(completion_score), 1) AS avg_completion_score
-FROM silver""",
+        "silver_kpis": silver + _KPIS,
         "top_courses": _LMS
         + """
 SELECT course_id, count(*) AS "count" FROM lms WHERE event_type = 'course_enrolled'
 GROUP BY course_id ORDER BY "count" DESC, course_id LIMIT 10""",
-        "engagement_distribution": silver
-        + """
-SELECT engagement_level, count(*) AS "count",
-  round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM silver) * 100, 1) AS percentage
-FROM silver GROUP BY engagement_level""",
+        "engagement_distribution": silver + _LEVELS.format("true"),
         "events_by_type": _LMS
         + ' SELECT event_type, count(*) AS "count" FROM lms GROUP BY event_type ORDER BY event_type',
         "avg_quiz_score_per_course": _LMS + _QUIZ_SCORES,
@@ -522,6 +623,21 @@ FROM silver GROUP BY engagement_level""",
         "course_completion": _LMS + _COMPLETION,
         "course_completion_yesterday": _LMS
         + _COMPLETION.replace(f"event_date = '{DAY}'", "event_date = (SELECT max(event_date) FROM lms)"),
+        "silver_late_days": all_silver,
+        "silver_kpis_states": silver + _KPIS,
+        "engagement_distribution_states": silver + _LEVELS.format(in_range),
+        "events_by_type_states": _LMS
+        + _STRAYS
+        + ' SELECT event_type, count(*) AS "count" FROM strays GROUP BY event_type',
+        "top_courses_states": _LMS
+        + f"""
+SELECT course_id, count(*) AS "count" FROM lms WHERE event_type = 'course_enrolled' AND {in_range}
+GROUP BY course_id ORDER BY "count" DESC, course_id LIMIT 10""",
+        "avg_quiz_score_states": _LMS + _QUIZ_SCORES.replace("WHERE", f"WHERE {in_range} AND"),
+        "most_watched_videos_states": _LMS + _VIDEOS.replace("WHERE", f"WHERE {in_range} AND"),
+        "distinct_counts_range": _LMS + _distinct_sql(f"FROM lms WHERE {in_range}", ""),
+        "distinct_counts_by_day": _LMS + _STRAYS + _distinct_sql("FROM strays", "event_date"),
+        "health_status_states": _LMS + _STRAYS + _SILVER + _health_sql("strays"),
         "kpi_csv_roundtrip": _LMS + f" {stamped} ({_QUIZ_SCORES})",
         "kpi_csv_videos": _LMS + f" {stamped} ({_VIDEOS})",
         "kpi_csv_completion": _LMS + f" {stamped} ({_COMPLETION})",

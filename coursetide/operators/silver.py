@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -18,6 +19,11 @@ def user_progress(bronze: DataFrame, run_date: date | str) -> DataFrame:
     return _progress(bronze.where(F.col("event_date") == day))
 
 
+def user_progress_on(bronze: DataFrame, days: Iterable[date | str]) -> DataFrame:
+    """Silver rows of the given days, in one job."""
+    return _progress(bronze.where(F.col("event_date").isin([as_day(day) for day in days])))
+
+
 def user_progress_between(
     bronze: DataFrame, start: date | str | None = None, end: date | str | None = None
 ) -> DataFrame:

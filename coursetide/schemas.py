@@ -94,3 +94,19 @@ SILVER = _fields(
     processing_timestamp="timestamp",
     processing_date="date",
 )
+
+# What days add to KPIs and distinct counts, and the numbers of values.
+STATES = _fields(
+    source="string",
+    event_date="date",
+    measure="string",
+    key="string",
+    records="long",
+    valued="long",
+    total="double",
+    whole="long",
+)
+
+BITMAPS = _fields(column_name="string", event_date="date", bucket="long", bits="binary")
+
+NUMBERS = _fields(column_name="string", value="string", number="long")

@@ -1,15 +1,31 @@
 from .extracts import append_extract
+from .numbers import grow_numbers, read_numbers
 from .records import kafka_options, kafka_records, replay_records
-from .tables import partition_rows, publish, publish_between, read_bronze, read_silver, require_partition
+from .tables import (
+    on_days,
+    partition_rows,
+    publish,
+    publish_between,
+    publish_days,
+    read_bronze,
+    read_days,
+    read_silver,
+    require_partition,
+)
 
 __all__ = [
     "append_extract",
+    "grow_numbers",
     "kafka_options",
     "kafka_records",
+    "on_days",
     "partition_rows",
     "publish",
     "publish_between",
+    "publish_days",
     "read_bronze",
+    "read_days",
+    "read_numbers",
     "read_silver",
     "replay_records",
     "require_partition",

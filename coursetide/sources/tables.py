@@ -5,13 +5,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,6 +19,10 @@ from ..schemas import BRONZE, SILVER
 from ..session import as_day
 
 
+#: Spark's name for the folder of rows without a day.
+_NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def read_bronze(
     spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
 ) -> DataFrame:
@@ -32,6 +36,11 @@ def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
     return _read(spark, path, fmt, SILVER)
 
 
+def read_days(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """Any other table that is stored by day, with a known schema."""
+    return _read(spark, path, fmt, schema)
+
+
 def publish(
     silver: DataFrame,
     path: str,
@@ -66,27 +75,67 @@ def publish_between(
     start, end = as_day(start), as_day(end)
     if start > end:
         raise ValueError(f"the range begins on {start}, after its end on {end}")
+    in_range = F.col("event_date").between(F.lit(start), F.lit(end))
+    _replace(silver, path, in_range, _days_predicate(start, end), len(_days(start, end)), fmt, files, rows_per_file, file_bytes)
+
+
+def publish_days(
+    table: DataFrame,
+    path: str,
+    days: Iterable[date | str | None],
+    fmt: str = "parquet",
+    files: int | None = None,
+    rows_per_file: int | None = None,
+    file_bytes: int | None = None,
+) -> None:
+    """Replace the given days in one job, as :func:`publish_between` does those of a range; no days change nothing.
+
+    The table may be any that has an ``event_date``; None stands for the rows without one.
+    """
+    wanted = {None if day is None else as_day(day) for day in days}
+    if wanted:
+        _replace(table, path, on_days(wanted), _listed_predicate(wanted), len(wanted), fmt, files, rows_per_file, file_bytes)
+
+
+def on_days(days: Iterable[date | str | None]) -> Column:
+    """Whether a row belongs to one of the days, None being those without a day. Prunes partitions."""
+    days = list(days)
+    named = F.col("event_date").isin([as_day(day) for day in days if day is not None])
+    return named | F.col("event_date").isNull() if None in days else named
+
+
+def _replace(
+    table: DataFrame,
+    path: str,
+    chosen: Column,
+    predicate: str,
+    days: int,
+    fmt: str,
+    files: int | None,
+    rows_per_file: int | None,
+    file_bytes: int | None,
+) -> None:
+    """Replaces the days that ``chosen`` and, for Delta, ``predicate`` hold of."""
     for name, value in (("files", files), ("rows_per_file", rows_per_file), ("file_bytes", file_bytes)):
         if value is not None and value < 1:
             raise ValueError(f"{name} is {value}, and must be at least 1")
-    spark = silver.sparkSession
-    in_range = F.col("event_date").between(F.lit(start), F.lit(end))
-    rows = _laid_out(silver.where(in_range), len(_days(start, end)), files)
+    spark = table.sparkSession
+    rows = _laid_out(table.where(chosen), days, files)
     if fmt == "delta":
         writer = _day_writer(rows, rows_per_file).format("delta")
         with _advisory_size(spark, file_bytes):
-            writer.option("replaceWhere", _days_predicate(start, end)).save(path)
+            writer.option("replaceWhere", predicate).save(path)
         return
 
     # Dynamic overwrite swaps in the new files at commit, so a failed job leaves the old
     # days in place. It does not touch days that got no rows. Those still have the files
     # they had before, as file names are new with every job; they are emptied after.
-    before = _day_files(spark, path, start, end)
+    before = _day_files(spark, path, chosen, rows.schema)
     writer = _day_writer(rows, rows_per_file).option("partitionOverwriteMode", "dynamic")
     with _advisory_size(spark, file_bytes):
         writer.parquet(path)
-    after = _day_files(spark, path, start, end) if before else {}
-    _empty_days(spark, path, [day for day, name in before.items() if after.get(day) == name])
+    after = _day_files(spark, path, chosen, rows.schema) if before else {}
+    _empty_days(spark, path, [day for day, name in before.items() if after.get(day) == name], rows.schema)
 
 
 def partition_rows(
@@ -119,17 +168,27 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: StructType) -> DataF
 
 def _laid_out(rows: DataFrame, days: int, files: int | None) -> DataFrame:
     if files is not None:
-        return rows.repartition(days * files, "event_date", F.pmod(F.hash("user_id"), F.lit(files)))
+        return rows.repartition(days * files, "event_date", F.pmod(F.hash(_first_key(rows)), F.lit(files)))
     # Gathers each day, and leaves it to adaptive execution to cut a day into tasks of its
     # advisory size: the number of files follows the data, not the number of cores.
     return rows.hint("rebalance", "event_date")
 
 
+def _first_key(rows: DataFrame) -> str:
+    return next(name for name in rows.columns if name != "event_date")
+
+
 def _day_writer(rows: DataFrame, rows_per_file: int | None) -> DataFrameWriter:
     writer = rows.write.mode("overwrite").partitionBy("event_date")
     return writer if rows_per_file is None else writer.option("maxRecordsPerFile", rows_per_file)
 
 
+def _listed_predicate(days: Iterable[date | None]) -> str:
+    named = ", ".join(f"date'{day}'" for day in sorted(day for day in days if day is not None))
+    parts = [f"event_date IN ({named})"] if named else []
+    return " OR ".join(parts + ["event_date IS NULL"] * (None in days))
+
+
 def _days_predicate(start: date, end: date) -> str:
     return f"event_date >= date'{start}' AND event_date <= date'{end}'"
 
@@ -148,25 +207,24 @@ def _advisory_size(spark: SparkSession, size: int | None) -> Iterator[None]:
             spark.conf.unset(name) if before is None else spark.conf.set(name, before)
 
 
-def _day_files(spark: SparkSession, path: str, start: date, end: date) -> dict[date, str]:
-    """A file name of each day of the range that has rows: at most one row a day, no column read."""
+def _day_files(spark: SparkSession, path: str, chosen: Column, schema: StructType) -> dict[date | None, str]:
+    """A file name of each chosen day that has rows: at most one row a day, no column read."""
     try:
-        table = spark.read.schema(SILVER).parquet(path)
+        table = spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    in_range = F.col("event_date").between(F.lit(start), F.lit(end))
     name = F.min("_metadata.file_name").alias("name")
-    return {r.event_date: r.name for r in table.where(in_range).groupBy("event_date").agg(name).collect()}
+    return {r.event_date: r.name for r in table.where(chosen).groupBy("event_date").agg(name).collect()}
 
 
-def _empty_days(spark: SparkSession, path: str, days: list[date]) -> None:
+def _empty_days(spark: SparkSession, path: str, days: list[date | None], schema: StructType) -> None:
     """Writes a file without rows for each day, a few days at a time."""
 
-    def empty(day: date) -> None:
-        nothing = spark.createDataFrame([], SILVER).drop("event_date")
-        nothing.write.mode("overwrite").parquet(f"{path}/event_date={day}")
+    def empty(day: date | None) -> None:
+        nothing = spark.createDataFrame([], schema).drop("event_date")
+        nothing.write.mode("overwrite").parquet(f"{path}/event_date={_NO_DAY if day is None else day}")
 
     if days:
         with ThreadPoolExecutor(max_workers=8) as pool:

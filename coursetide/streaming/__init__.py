@@ -1,3 +1,4 @@
+from .follow import follow_silver
 from .ingest import ingest
 
-__all__ = ["ingest"]
+__all__ = ["follow_silver", "ingest"]
