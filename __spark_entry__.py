@@ -97,6 +97,52 @@ def bronze_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_bronze(ct.read_bronze(spark, f"{folder}/bronze"))
 
 
+def bronze_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and place of every record, and the text of those without a key as a digest."""
+    records = as_records(_bronze(spark, sf_dir)).unionByName(stray_records(spark, sf_dir))
+    text = F.when(F.col("message_key").isNull(), F.sha2("message", 256))
+    return ct.decode_records(records).select(
+        "message_key", text.alias("message_sha256"), F.col("partition").alias("log_partition"), F.col("offset").alias("log_offset")
+    )
+
+
+def bronze_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the schema leaves over of every record, through the stream and the stored table.
+
+    The stream is started twice: the second time a new field of the payload gets a column of its own.
+    """
+    folder = scratch_dir(spark, "left-over")
+    events = _bronze(spark, sf_dir)
+    number = F.col("offset")
+    device = F.concat(F.lit('"payload":{"device":"d'), (number % 7).cast("string"), F.lit('",'))
+    trace = F.concat(F.lit(',"trace":'), number.cast("string"), F.lit("}"))
+    text = F.replace(F.col("value").cast("string"), F.lit('"payload":{'), device)
+    newer = as_records(events).withColumn("value", F.concat(F.rtrim(text, F.lit("}")), F.lit("}"), trace).cast("binary"))
+    strays = stray_records(spark, sf_dir)
+    added = {"payload.device": "device string"}
+    for rows, fields in ((newer.where(number % 2 == 0).unionByName(strays), None), (newer.where(number % 2 == 1), added)):
+        rows.repartition(spark.sparkContext.defaultParallelism).write.mode("append").parquet(f"{folder}/log")
+        ct.ingest(
+            ct.replay_records(spark, f"{folder}/log"),
+            f"{folder}/bronze",
+            f"{folder}/checkpoint",
+            catch_up=True,
+            left_over=True,
+            added=fields,
+        ).awaitTermination()
+    stored = ct.read_bronze(spark, f"{folder}/bronze", left_over=True, added=added.values())
+    return stored.select(
+        F.col("partition").alias("log_partition"),
+        F.col("offset").alias("log_offset"),
+        "event_id",
+        F.to_json("rest").alias("rest"),
+        ct.field_of_rest("trace", "bigint").alias("trace"),
+        "device",
+        "bad_text",
+        "bad_reason",
+    )
+
+
 # --- silver ---------------------------------------------------------------------------
 
 
@@ -376,6 +422,8 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bronze_parse,
         bronze_parse_strays,
         bronze_stream_replay,
+        bronze_keys,
+        bronze_left_over,
         daily_run,
         user_progress_day,
         user_progress_backfill,
@@ -579,6 +627,19 @@ def oracle_sql() -> dict[str, str]:
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
         "bronze_stream_replay": with_strays,
+        "bronze_keys": _LMS
+        + " SELECT user_id AS message_key, NULL AS message_sha256, log_partition, log_offset FROM lms"
+        + " UNION ALL SELECT NULL, sha256(text), CAST(doc_id % 3 AS INTEGER), CAST(doc_id AS BIGINT) FROM documents",
+        "bronze_left_over": _LMS
+        + """
+SELECT log_partition, log_offset, event_id,
+  concat('{"payload":{"device":"d', log_offset % 7, '"},"trace":', log_offset, '}') AS rest, log_offset AS trace,
+  CASE WHEN log_offset % 2 = 1 THEN concat('d', log_offset % 7) END AS device, NULL AS bad_text, NULL AS bad_reason
+FROM lms
+UNION ALL
+SELECT CAST(doc_id % 3 AS INTEGER), CAST(doc_id AS BIGINT), NULL, NULL, NULL, NULL, text,
+  CASE WHEN text IS NULL THEN 'no value' ELSE 'not JSON' END
+FROM documents""",
         "daily_run": all_silver + f" WHERE event_date = '{DAY}'",
         "user_progress_day": all_silver + f" WHERE event_date = '{DAY}'",
         "user_progress_backfill": all_silver,

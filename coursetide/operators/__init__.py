@@ -1,4 +1,4 @@
-from .bronze import decode_records, parse_events
+from .bronze import decode_records, field_of_rest, parse_events
 from .distincts import COUNTED, day_bitmaps, distinct_by_day, distinct_counts
 from .health import freshness, missing_event_types, pipeline_health, table_profile
 from .kpis import (
@@ -42,6 +42,7 @@ __all__ = [
     "engagement_distribution_of",
     "events_by_type",
     "events_by_type_of",
+    "field_of_rest",
     "freshness",
     "merge_states",
     "missing_event_types",

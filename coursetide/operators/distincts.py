@@ -32,7 +32,7 @@ def day_bitmaps(bronze: DataFrame, numbers: DataFrame, columns: Iterable[str] =
 def _bitmaps(bronze: DataFrame, numbers: DataFrame, column: str) -> DataFrame:
     values = bronze.select("event_date", F.col(column).cast("string").alias("value")).distinct()
     own = numbers.where(F.col("column_name") == column).select("value", "number")
-    joined = values.join(own, "value", "left")
+    joined = values.join(own.hint("merge"), "value", "left")
     without = F.raise_error(F.concat(F.lit(f"a value of {column} has no number: "), F.col("value"))).cast("long")
     number = F.when(F.col("value").isNull(), 0).otherwise(F.coalesce("number", without))
     placed = joined.select("event_date", number.alias("number"))

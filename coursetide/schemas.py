@@ -68,6 +68,9 @@ BRONZE = T.StructType([T.StructField(f.name, f.dataType) for f in ENVELOPE]) \
     .add("ingest_time", "timestamp") \
     .add("event_date", "date")
 
+# What parsing by the schema leaves over: fields that are in no schema, and the text of records that could not be read.
+LEFT_OVER = _fields(rest="variant", bad_text="string", bad_reason="string")
+
 # Silver counter column -> the event type it counts.
 COUNTERS = {
     "courses_enrolled": "course_enrolled",

@@ -35,7 +35,7 @@ def grow_numbers(table: DataFrame, path: str, columns: Iterable[str]) -> None:
         seen = table.select(F.col(column).cast("string").alias("value")).where("value is not null").distinct()
         staged = scratch_dir(spark, "numbers")
         place = F.monotonically_increasing_id()  # partition and place in it: 31 and 33 bits
-        new = seen.join(known.select("value"), "value", "left_anti")
+        new = seen.join(known.select("value").hint("merge"), "value", "left_anti")
         new.withColumn("part", F.spark_partition_id()).withColumn("place", place.bitwiseAND((1 << 33) - 1)).write.parquet(staged)
         new = spark.read.schema("value string, part int, place long").parquet(staged)
         counts = {r.part: r.n for r in new.groupBy("part").agg(F.count("*").alias("n")).collect()}
@@ -46,8 +46,8 @@ def grow_numbers(table: DataFrame, path: str, columns: Iterable[str]) -> None:
         for part in sorted(counts):
             offsets.append((part, first))
             first += counts[part]
-        offsets = spark.createDataFrame(offsets, "part int, first long")  # one short row per file
-        numbered = new.join(F.broadcast(offsets), "part").select(
+        offsets = spark.createDataFrame(offsets, "part int, first long")
+        numbered = new.join(offsets.hint("merge"), "part").select(
             F.lit(column).alias("column_name"), "value", (F.col("first") + F.col("place")).alias("number")
         )
         numbered.write.mode("append").partitionBy("column_name").parquet(path)

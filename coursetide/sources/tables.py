@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..schemas import BRONZE, SILVER
+from ..schemas import BRONZE, LEFT_OVER, SILVER
 from ..session import as_day
 
 
@@ -24,12 +24,25 @@ _NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_bronze(
-    spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
+    spark: SparkSession,
+    path: str,
+    fmt: str = "parquet",
+    merge_schema: bool = False,
+    left_over: bool = False,
+    added: Iterable[str] = (),
 ) -> DataFrame:
-    """Bronze rows; with ``merge_schema`` also columns that later files added."""
+    """Bronze rows; with ``merge_schema`` also columns that later files added.
+
+    ``left_over`` and ``added`` (names with types, as in :func:`coursetide.parse_events`) read such columns by a
+    known schema, without looking into every file; rows from before they were stored have null.
+    """
     if merge_schema:
         return spark.read.format(fmt).option("mergeSchema", True).load(path)
-    return _read(spark, path, fmt, BRONZE)
+    schema = StructType([*BRONZE, *(LEFT_OVER if left_over else [])])
+    for column in added:
+        name, kind = column.split(None, 1)
+        schema = schema.add(name, kind)
+    return _read(spark, path, fmt, schema)
 
 
 def read_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

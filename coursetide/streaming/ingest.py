@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +18,8 @@ def ingest(
     every: str = "30 seconds",
     catch_up: bool = False,
     gather_days: bool = False,
+    left_over: bool = False,
+    added: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Append parsed records to the bronze table, partitioned by day.
 
@@ -26,8 +30,11 @@ def ingest(
     The job is map-only and leaves a file for every task and day in it. With ``gather_days``,
     meant for catching up over many days, each batch is shuffled by day first, adaptive
     execution cutting a large day into several tasks, so that it leaves few large files.
+
+    ``left_over`` and ``added`` are those of :func:`coursetide.parse_events`. Both may be taken up, and fields added,
+    when the stream is started again from its checkpoint: rows from before read as null there.
     """
-    events = parse_events(raw)
+    events = parse_events(raw, left_over, added)
     if gather_days:
         events = events.hint("rebalance", "event_date")
     writer = (
