@@ -18,7 +18,7 @@ from .sources import (
     replay_records,
     require_partition,
 )
-from .streaming import follow_silver, ingest
+from .streaming import follow_silver, ingest, ingested
 
 __all__ = [
     *_operators,
@@ -28,6 +28,7 @@ __all__ = [
     "follow_silver",
     "grow_numbers",
     "ingest",
+    "ingested",
     "kafka_records",
     "partition_rows",
     "prepare",

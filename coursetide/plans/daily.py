@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import user_progress, user_progress_between
 from ..session import as_day, yesterday_utc
-from ..sources import publish, publish_between, read_bronze, read_silver, require_partition
+from ..sources import observed, publish_between, publish_day_if, read_bronze, require_partition
 
 
 def run_day(
@@ -23,14 +24,24 @@ def run_day(
 ) -> None:
     """Publish one day, yesterday unless given.
 
-    Fails when bronze has no rows for the day, before silver is touched, and when silver has none
-    afterwards.
+    Fails when bronze has no rows for the day, and leaves the day's silver as it was, and when silver has none
+    of it. Both counts are taken by the job that publishes; no table is read for them. (With Delta, which replaces
+    at commit, bronze is asked first.)
     """
     day = yesterday_utc() if run_date is None else as_day(run_date)
     bronze = read_bronze(spark, bronze_path, fmt)
-    require_partition(bronze, day)
-    publish(user_progress(bronze, day), silver_path, day, fmt, files, rows_per_file, file_bytes)
-    require_partition(read_silver(spark, silver_path, fmt), day)
+    if fmt == "delta":
+        require_partition(bronze, day)
+    read = Observation()
+    events = bronze.where(F.col("event_date") == F.lit(day)).observe(read, F.count(F.lit(1)).alias("rows"))
+
+    def gate(written: int) -> None:
+        if not observed(read, "rows"):
+            raise LookupError(f"no rows for event_date={day}")
+        if not written:
+            raise LookupError(f"no silver rows for event_date={day}")
+
+    publish_day_if(user_progress(events, day), silver_path, day, gate, fmt, files, rows_per_file, file_bytes)
 
 
 def backfill(

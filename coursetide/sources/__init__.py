@@ -2,10 +2,12 @@ from .extracts import append_extract
 from .numbers import grow_numbers, read_numbers
 from .records import kafka_options, kafka_records, replay_records
 from .tables import (
+    observed,
     on_days,
     partition_rows,
     publish,
     publish_between,
+    publish_day_if,
     publish_days,
     read_bronze,
     read_days,
@@ -18,10 +20,12 @@ __all__ = [
     "grow_numbers",
     "kafka_options",
     "kafka_records",
+    "observed",
     "on_days",
     "partition_rows",
     "publish",
     "publish_between",
+    "publish_day_if",
     "publish_days",
     "read_bronze",
     "read_days",

@@ -5,13 +5,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -70,6 +70,22 @@ def publish(
     publish_between(silver, path, run_date, run_date, fmt, files, rows_per_file, file_bytes)
 
 
+def publish_day_if(
+    silver: DataFrame,
+    path: str,
+    run_date: date | str,
+    gate: Callable[[int], None],
+    fmt: str = "parquet",
+    files: int | None = None,
+    rows_per_file: int | None = None,
+    file_bytes: int | None = None,
+) -> None:
+    """As :func:`publish`, with a check of the number of rows written. It runs before the day is emptied for want of rows."""
+    day = as_day(run_date)
+    chosen, predicate = F.col("event_date") == F.lit(day), _days_predicate(day, day)
+    _replace(silver, path, chosen, predicate, 1, fmt, files, rows_per_file, file_bytes, gate)
+
+
 def publish_between(
     silver: DataFrame,
     path: str,
@@ -127,28 +143,48 @@ def _replace(
     files: int | None,
     rows_per_file: int | None,
     file_bytes: int | None,
+    gate: Callable[[int], None] | None = None,
 ) -> None:
-    """Replaces the days that ``chosen`` and, for Delta, ``predicate`` hold of."""
+    """Replaces the days that ``chosen`` and, for Delta, ``predicate`` hold of.
+
+    ``gate`` is given the number of rows that were written, counted on their way, before any day is emptied: what it
+    raises leaves days without new rows as they were. Delta replaces at commit, so there it can't.
+    """
     for name, value in (("files", files), ("rows_per_file", rows_per_file), ("file_bytes", file_bytes)):
         if value is not None and value < 1:
             raise ValueError(f"{name} is {value}, and must be at least 1")
     spark = table.sparkSession
-    rows = _laid_out(table.where(chosen), days, files)
+    made = Observation()
+    rows = _laid_out(table.where(chosen).observe(made, F.count(F.lit(1)).alias("rows")), days, files)
     if fmt == "delta":
         writer = _day_writer(rows, rows_per_file).format("delta")
-        with _advisory_size(spark, file_bytes):
+        with _writing(spark, file_bytes):
             writer.option("replaceWhere", predicate).save(path)
+        if gate is not None:
+            gate(observed(made, "rows"))
         return
 
     # Dynamic overwrite swaps in the new files at commit, so a failed job leaves the old
-    # days in place. It does not touch days that got no rows. Those still have the files
-    # they had before, as file names are new with every job; they are emptied after.
-    before = _day_files(spark, path, chosen, rows.schema)
+    # days in place. It does not touch days that got no rows. A single day got none if no rows were written. Of several,
+    # those without still have the files they had before, as file names are new with every job. They are emptied after.
+    before = {} if days == 1 else _day_files(spark, path, chosen, rows.schema)
     writer = _day_writer(rows, rows_per_file).option("partitionOverwriteMode", "dynamic")
-    with _advisory_size(spark, file_bytes):
+    with _writing(spark, file_bytes):
         writer.parquet(path)
-    after = _day_files(spark, path, chosen, rows.schema) if before else {}
-    _empty_days(spark, path, [day for day, name in before.items() if after.get(day) == name], rows.schema)
+    written = observed(made, "rows")
+    if gate is not None:
+        gate(written)
+    if days == 1:
+        before = {} if written else _day_files(spark, path, chosen, rows.schema)
+        after = {}
+    else:
+        after = _day_files(spark, path, chosen, rows.schema) if before else {}
+    _empty_days(spark, path, [day for day, name in before.items() if after.get(day) == name or days == 1], rows.schema)
+
+
+def observed(observation: Observation, name: str) -> int:
+    """A count taken while a job ran."""
+    return observation.get[name]
 
 
 def partition_rows(
@@ -206,18 +242,26 @@ def _days_predicate(start: date, end: date) -> str:
     return f"event_date >= date'{start}' AND event_date <= date'{end}'"
 
 
+#: Adaptive execution takes empty parts out of a plan, and with them the counts taken there; a write goes without that.
+_KEEP_EMPTY = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
 @contextmanager
-def _advisory_size(spark: SparkSession, size: int | None) -> Iterator[None]:
-    """The size to which adaptive execution gathers and cuts, for the time of one write."""
-    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(name, None)
+def _writing(spark: SparkSession, size: int | None) -> Iterator[None]:
+    """For the time of one write: the size to which adaptive execution gathers and cuts, and empty parts left in."""
+    rules = "spark.sql.adaptive.optimizer.excludedRules"
+    excluded = [rule for rule in (spark.conf.get(rules, None) or "").split(",") if rule]
+    wanted = {rules: ",".join([*excluded, _KEEP_EMPTY])}
     if size is not None:
-        spark.conf.set(name, str(size))
+        wanted["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(size)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if size is not None:
-            spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def _day_files(spark: SparkSession, path: str, chosen: Column, schema: StructType) -> dict[date | None, str]:

@@ -1,4 +1,4 @@
 from .follow import follow_silver
-from .ingest import ingest
+from .ingest import ingest, ingested
 
-__all__ = ["follow_silver", "ingest"]
+__all__ = ["follow_silver", "ingest", "ingested"]
