@@ -143,6 +143,19 @@ def bronze_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream's table with its closed days compacted, then late events, then some of their days compacted again."""
+    folder = scratch_dir(spark, "compacted")
+    log = as_records(_bronze(spark, sf_dir)).unionByName(stray_records(spark, sf_dir))
+    late = F.col("offset") % 8 == 0
+    for rows, until in ((log.where(~late), "2024-01-25"), (log.where(late), "2024-01-20")):
+        rows.repartition(spark.sparkContext.defaultParallelism).write.mode("append").parquet(f"{folder}/log")
+        records = ct.replay_records(spark, f"{folder}/log", files_per_trigger=4)
+        ct.ingest(records, f"{folder}/bronze", f"{folder}/checkpoint", catch_up=True).awaitTermination()
+        ct.compact_days(spark, f"{folder}/bronze", f"{folder}/compact", until)
+    return _flat_bronze(ct.read_compacted(spark, f"{folder}/bronze", f"{folder}/compact"))
+
+
 # --- silver ---------------------------------------------------------------------------
 
 
@@ -424,6 +437,7 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bronze_stream_replay,
         bronze_keys,
         bronze_left_over,
+        bronze_compacted,
         daily_run,
         user_progress_day,
         user_progress_backfill,
@@ -627,6 +641,7 @@ def oracle_sql() -> dict[str, str]:
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
         "bronze_stream_replay": with_strays,
+        "bronze_compacted": with_strays,
         "bronze_keys": _LMS
         + " SELECT user_id AS message_key, NULL AS message_sha256, log_partition, log_offset FROM lms"
         + " UNION ALL SELECT NULL, sha256(text), CAST(doc_id % 3 AS INTEGER), CAST(doc_id AS BIGINT) FROM documents",

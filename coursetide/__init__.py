@@ -6,6 +6,7 @@ from .plans import backfill, export_kpis, read_day_tables, refresh_day_tables, r
 from .session import prepare
 from .sources import (
     append_extract,
+    compact_days,
     grow_numbers,
     kafka_records,
     partition_rows,
@@ -13,6 +14,7 @@ from .sources import (
     publish_between,
     publish_days,
     read_bronze,
+    read_compacted,
     read_numbers,
     read_silver,
     replay_records,
@@ -23,6 +25,7 @@ from .streaming import follow_silver, ingest, ingested
 __all__ = [
     *_operators,
     "append_extract",
+    "compact_days",
     "backfill",
     "export_kpis",
     "follow_silver",
@@ -36,6 +39,7 @@ __all__ = [
     "publish_between",
     "publish_days",
     "read_bronze",
+    "read_compacted",
     "read_day_tables",
     "read_numbers",
     "read_silver",

@@ -113,3 +113,9 @@ STATES = _fields(
 BITMAPS = _fields(column_name="string", event_date="date", bucket="long", bits="binary")
 
 NUMBERS = _fields(column_name="string", value="string", number="long")
+
+# Compacted days: where the latest version of each lies and which files of the stream it holds.
+VERSIONS = _fields(event_date="date", folder="string", source="string", version="long")
+
+# The batch that a stream has worked off last.
+FINISHED = _fields(query_id="string", batch_id="long")

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _ZONE = "spark.sql.session.timeZone"
 _UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
@@ -44,6 +47,14 @@ def yesterday_utc() -> date:
     return datetime.now(timezone.utc).date() - timedelta(days=1)
 
 
+def few_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType) -> DataFrame:
+    """A small table of literals, made by the JVM alone."""
+    typed = [F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema, strict=True))) for row in rows]
+    if not typed:
+        return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+    return spark.range(1).select(F.inline(F.array(*typed)))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``,
     or else under the context's checkpoint folder.

@@ -1,3 +1,4 @@
+from .compact import compact_days, curve, read_compacted
 from .extracts import append_extract
 from .numbers import grow_numbers, read_numbers
 from .records import kafka_options, kafka_records, replay_records
@@ -17,6 +18,8 @@ from .tables import (
 
 __all__ = [
     "append_extract",
+    "compact_days",
+    "curve",
     "grow_numbers",
     "kafka_options",
     "kafka_records",
@@ -28,6 +31,7 @@ __all__ = [
     "publish_day_if",
     "publish_days",
     "read_bronze",
+    "read_compacted",
     "read_days",
     "read_numbers",
     "read_silver",

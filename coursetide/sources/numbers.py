@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import NUMBERS
-from ..session import scratch_dir
+from ..session import few_rows, scratch_dir
 
 
 def read_numbers(spark: SparkSession, path: str) -> DataFrame:
@@ -19,14 +19,14 @@ def read_numbers(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], NUMBERS)
+        return few_rows(spark, [], NUMBERS)
 
 
 def grow_numbers(table: DataFrame, path: str, columns: Iterable[str]) -> None:
     """Number the values of ``columns`` that have no number yet. Null has none.
 
     New values are stored first, and each gets the place in its stored file behind all files before it, so that numbers
-    are dense without sorting the values in one task; what the driver sees is one count per file. A job that failed
+    are dense without sorting the values in one task; only a count per file is sorted. A job that failed
     is run again with no harm, as numbers are appended in one commit per column. One job at a time may grow a table.
     """
     spark = table.sparkSession
@@ -38,16 +38,10 @@ def grow_numbers(table: DataFrame, path: str, columns: Iterable[str]) -> None:
         new = seen.join(known.select("value").hint("merge"), "value", "left_anti")
         new.withColumn("part", F.spark_partition_id()).withColumn("place", place.bitwiseAND((1 << 33) - 1)).write.parquet(staged)
         new = spark.read.schema("value string, part int, place long").parquet(staged)
-        counts = {r.part: r.n for r in new.groupBy("part").agg(F.count("*").alias("n")).collect()}
-        if not counts:
-            continue
-        first = (known.agg(F.max("number")).first()[0] or 0) + 1
-        offsets = []
-        for part in sorted(counts):
-            offsets.append((part, first))
-            first += counts[part]
-        offsets = spark.createDataFrame(offsets, "part int, first long")
+        before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+        offsets = new.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("offset"))
+        last = F.coalesce(known.select(F.max("number")).scalar(), F.lit(0))
         numbered = new.join(offsets.hint("merge"), "part").select(
-            F.lit(column).alias("column_name"), "value", (F.col("first") + F.col("place")).alias("number")
+            F.lit(column).alias("column_name"), "value", (last + F.col("offset") + F.col("place") + 1).alias("number")
         )
         numbered.write.mode("append").partitionBy("column_name").parquet(path)

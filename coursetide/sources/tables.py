@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import BRONZE, LEFT_OVER, SILVER
-from ..session import as_day
+from ..session import as_day, few_rows
 
 
 #: Spark's name for the folder of rows without a day.
@@ -280,7 +280,7 @@ def _empty_days(spark: SparkSession, path: str, days: list[date | None], schema:
     """Writes a file without rows for each day, a few days at a time."""
 
     def empty(day: date | None) -> None:
-        nothing = spark.createDataFrame([], schema).drop("event_date")
+        nothing = few_rows(spark, [], schema).drop("event_date")
         nothing.write.mode("overwrite").parquet(f"{path}/event_date={_NO_DAY if day is None else day}")
 
     if days:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import user_progress_on
-from ..schemas import BRONZE
+from ..schemas import BRONZE, FINISHED
+from ..session import few_rows
 from ..sources import on_days, publish_days, read_bronze
 
 _QUERY_ID = "sql.streaming.queryId"
@@ -61,7 +62,7 @@ def follow_silver(
             publish_days(user_progress_on(bronze, days), silver_path, days, fmt, files, rows_per_file, file_bytes)
         if touched and also is not None:
             also(bronze.where(on_days(touched)), touched)
-        own.createDataFrame([mark], "query_id string, batch_id long").coalesce(1).write.mode("overwrite").parquet(done)
+        few_rows(own, [mark], FINISHED).coalesce(1).write.mode("overwrite").parquet(done)
 
     writer = reader.load(bronze_path).select("event_date").writeStream.foreachBatch(work_off)
     trigger = {"availableNow": True} if catch_up else {"processingTime": every}
@@ -77,7 +78,7 @@ def touched_days(rows: DataFrame) -> list[date | None]:
 def _last_finished(spark: SparkSession, path: str) -> tuple[str, int] | None:
     """Batches follow each other, so the last one is enough. Where its mark was lost, work is done once more."""
     try:
-        marks = spark.read.schema("query_id string, batch_id long").parquet(path)
+        marks = spark.read.schema(FINISHED).parquet(path)
         last = marks.first()
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
