@@ -30,32 +30,34 @@ RANKS = "byte_bpe_50k.tiktoken"
 PII_KEY = "not a secret"
 
 
-#: All windows that hold a shingle of an item, compared with it outright.
+#: All windows that hold a shingle of an item, compared with it outright. A document of fewer shingles is one window.
 _OP2 = r"""
 WITH doc_words AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
 items AS (
-  SELECT item_id, w, len(w) AS n FROM (
-    SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) >= 5),
+  SELECT item_id, w, least(5, len(w)) AS k FROM (
+    SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
 item_shingles AS (
-  SELECT item_id, n - 4 AS a, s, count(*) AS times FROM (
-    SELECT item_id, n, array_to_string(w[p : p + 4], ' ') AS s FROM (
-      SELECT item_id, n, w, unnest(range(1, n - 3)) AS p FROM items)) GROUP BY ALL),
+  SELECT item_id, k, a, s, count(*) AS times FROM (
+    SELECT item_id, k, len(w) - k + 1 AS a, array_to_string(w[p : p + k - 1], ' ') AS s FROM (
+      SELECT item_id, k, w, unnest(range(1, len(w) - k + 2)) AS p FROM items)) GROUP BY ALL),
+doc_shingles AS (
+  SELECT doc_id, k, len(w) - k + 1 AS b, p, array_to_string(w[p : p + k - 1], ' ') AS s FROM (
+    SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM doc_words, (SELECT DISTINCT k FROM items))),
 hits AS (
-  SELECT doc_id, d.n, p, item_id, a, i.s, times FROM (
-    SELECT doc_id, len(w) AS n, p, array_to_string(w[p : p + 4], ' ') AS s FROM (
-      SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM doc_words)) AS d JOIN item_shingles AS i USING (s)),
+  SELECT doc_id, b, p, item_id, a, least(a, b) AS size, k, s, times
+  FROM doc_shingles JOIN item_shingles USING (k, s)),
 starts AS (
-  SELECT DISTINCT doc_id, item_id, start FROM (
-    SELECT doc_id, item_id, a, n, unnest(range(greatest(1, p - a + 1), p + 1)) AS start FROM hits)
-  WHERE start + a + 3 <= n),
+  SELECT DISTINCT doc_id, item_id, size, start FROM (
+    SELECT doc_id, item_id, size, b, unnest(range(greatest(1, p - size + 1), p + 1)) AS start FROM hits)
+  WHERE start + size - 1 <= b),
 common AS (
-  SELECT doc_id, item_id, start, a, CAST(sum(least(found, times)) AS BIGINT) AS met FROM (
-    SELECT doc_id, item_id, start, h.s, any_value(a) AS a, any_value(times) AS times, count(*) AS found
-    FROM starts JOIN hits AS h USING (doc_id, item_id) WHERE p BETWEEN start AND start + a - 1
-    GROUP BY doc_id, item_id, start, h.s) GROUP BY doc_id, item_id, start, a),
+  SELECT doc_id, item_id, start, size, a, CAST(sum(least(found, times)) AS BIGINT) AS met FROM (
+    SELECT doc_id, item_id, start, starts.size, h.s, any_value(a) AS a, any_value(times) AS times, count(*) AS found
+    FROM starts JOIN hits AS h USING (doc_id, item_id) WHERE p BETWEEN start AND start + starts.size - 1
+    GROUP BY doc_id, item_id, start, starts.size, h.s) GROUP BY doc_id, item_id, start, size, a),
 alike AS (
-  SELECT doc_id, item_id, start, met / (2 * a - met) AS similarity FROM common WHERE met / (2 * a - met) >= 0.8)
+  SELECT doc_id, item_id, start, met / (a + size - met) AS similarity FROM common WHERE met / (a + size - met) >= 0.8)
 SELECT doc_id, item_id, CAST(arg_min(start, (-similarity, start)) AS INTEGER) AS start,
   round(max(similarity), 6) AS similarity
 FROM alike GROUP BY doc_id, item_id"""
@@ -118,7 +120,7 @@ def op1_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), short=True)
     return found.select("doc_id", "item_id", "start", F.round("similarity", 6).alias("similarity"))
 
 

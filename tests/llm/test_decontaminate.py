@@ -125,3 +125,22 @@ def test_the_stage_takes_out_most_of_an_item(spark, tmp_path):
     items.write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = documents(spark, [(1, " ".join(prose(500, 60).split()[:58])), (2, prose(9, 40))])
     assert [r.doc_id for r in cp.without_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+
+
+def test_query_and_sql_find_short_documents_and_items(spark, tmp_path):
+    """On rows made for it, as the tables have next to none of them."""
+    import __spark_entry__ as registry
+
+    from ..oracle import assert_same, duckdb_on
+
+    item = prose(500, 60).split()
+    texts = [(k, " ".join(item[: 60 - k])) for k in range(16)]
+    texts += [(20, "so one two three"), (21, "two three"), (22, prose(9, 40)), (23, ""), (24, None), (25, "one two three four"), (26, prose(501, 18))]
+    documents(spark, texts).coalesce(1).write.parquet(f"{tmp_path}/documents")
+    items = spark.createDataFrame([i for i in ITEMS if i[0] != 6], "item_id long, text string")
+    items.coalesce(1).write.parquet(f"{tmp_path}/benchmark")
+    for table in ("documents", "benchmark"):
+        next((tmp_path / table).glob("*.parquet")).rename(tmp_path / f"{table}.parquet")
+    found = registry.queries()["op2_decontaminate"](spark, str(tmp_path))
+    assert assert_same(found, duckdb_on(tmp_path), registry.oracle_sql()["op2_decontaminate"]) > 12
+    assert {r.doc_id for r in found.collect()} >= {0, 2, 6, 20, 25}
