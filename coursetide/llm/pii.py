@@ -8,17 +8,16 @@ format: digits by digits, letters by letters of their case, other signs not at a
 | kind | taken if | permuted |
 | --- | --- | --- |
 | card | 13 to 19 digits with a right Luhn digit, up to a separator if other digits follow | all digits but the first; new check digit |
-| iban | right check digits (mod 97) | account part; new check digits |
+| iban | as long as its country has them, with right check digits (mod 97) | account part; new check digits |
 | ssn | area, group and serial that can be issued | among those |
-| phone | international with 8 to 15 digits, or ten digits grouped 3-3-4 | digits behind the country code |
+| phone | international with 8 to 15 digits, or ten digits grouped 3-3-4 by hyphens, points or spaces | digits behind the country code |
 | ip | four numbers up to 255 | among all addresses |
 | date | a day from 1900 to 2099, as y-m-d, d.m.y, d/m/y or else m/d/y | among those days |
-| email | | the part before the sign |
+| email | | the part before the sign, alike in either case |
 | secret | AKIA keys; values after password, token, secret or api key | the value |
 
 Numbers that fail their test stay as they are. Separators stay in their places and don't enter the
-permutation, so a number written with and without them keeps one pseudonym (a phone's country code ends at
-the first separator, if there is one). A permutation can map a value to
+permutation, so a number written with and without them keeps one pseudonym. A permutation can map a value to
 itself, as rarely as its format has values. Everything is SQL functions: no shuffle, no Python. A null text
 stays null, an empty one empty; a text of any length is taken whole; rows, ties and other columns are untouched.
 """
@@ -31,11 +30,32 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 
 # The forms in which the kinds are written.
-_EMAIL = r"[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+_EMAIL = r"[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
 _NAMED = r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s{0,4}[=:]\s{0,4}[\"']?"
 _SECRET = r"[A-Za-z0-9+/_-]{8,128}"
 _AWS = r"AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
-_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Lengths of IBANs by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
+_OPEN_IBAN = r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+
+
+def _iban_form() -> str:
+    """Each country's length by itself, so that a word or number behind is not taken for a part; then any other country's."""
+    forms = []
+    for length, countries in _IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{'|'.join(countries.split())})\d\d(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}")
+    known = "|".join(" ".join(_IBAN_LENGTHS.values()).split())
+    return rf"(?=[A-Z]{{2}}\d\d)(?:(?:{'|'.join(forms)})(?![A-Za-z0-9])|(?!{known}){_OPEN_IBAN}(?![A-Za-z0-9]))"
+
+
+_IBAN = _iban_form()
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 _ISO = r"(?:19|20)\d\d-\d\d-\d\d(?!-?\d)"
@@ -43,7 +63,9 @@ _DOTTED = r"\d{1,2}\.\d{1,2}\.(?:19|20)\d\d(?!\.?\d)"
 _SLASHED = r"\d{1,2}/\d{1,2}/(?:19|20)\d\d(?!/?\d)"
 _SSN = r"\d{3}-\d{2}-\d{4}(?!-?\d)"
 _ABROAD = r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-_HOME = r"(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4}(?!\d)"
+_HOME = r"(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?!\d)"
+#: Country codes of two digits; those that begin with 1 or 7 have one, all others three.
+_CODES = "20 27 3[0-4] 36 39 4[013-9] 5[1-8] 6[0-6] 8[1246] 9[0-58]".replace(" ", "|")
 #: Up to 19 digits if no others follow; else groups and runs as cards are written, whatever follows them.
 _CARD = "|".join((
     r"\d(?:[ -]?\d){12,18}(?![ -]?\d|[./]\d)", r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}(?!\d|[-./]\d)", r"\d{4}(?:[ -]\d{4}){3}(?!\d)",
@@ -166,7 +188,7 @@ def _pseudonym(k: _Key) -> str:
             "concat(lpad(cast(s.x + if(s.x >= 665, 2, 1) as string), 3, '0'), lpad(cast(s.y div 9999 + 1 as string), 2, '0'), lpad(cast(s.y % 9999 + 1 as string), 4, '0'))",
         ), _refit("0-9", "full")) + ", m)")
     abroad = _let("d", _only("0-9"), "if(length(d) between 8 and 15, " + _let(
-        "cc", "length(regexp_extract(m, '^.([0-9]{1,3})', 1))",
+        "cc", f"case when d rlike '^[17]' then 1 when d rlike '^(?:{_CODES})' then 2 else 3 end",
         _let("full", f"concat(substr(d, 1, cc), {k.text('substr(d, cc + 1)', 'phone')})", _refit("0-9", "full")),
     ) + ", m)")
     home = _let("d", _only("0-9"), _let("full", k.text("d", "phone"), _refit("0-9", "full")))
@@ -191,7 +213,11 @@ def _pseudonym(k: _Key) -> str:
     iso = _let("f", parts, dated("f[0]", "f[1]", "f[2]", "yyyy-MM-dd", "m"))
     dotted = _let("f", parts, dated("f[2]", "f[1]", "f[0]", "dd.MM.yyyy", "m"))
     slashed = _let("f", parts, dated("f[2]", "f[1]", "f[0]", "dd/MM/yyyy", dated("f[2]", "f[0]", "f[1]", "MM/dd/yyyy", "m")))
-    email = f"concat({k.text('''substring_index(m, '@', 1)''', 'email')}, '@', substring_index(m, '@', -1))"
+    small, large = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    cased = "transform(split(v, ''), (c, j) -> if(c between 'A' and 'Z', upper(substr(p, j + 1, 1)), substr(p, j + 1, 1)))"
+    email = _let("v", "substring_index(m, '@', 1)", _let(
+        "p", k.text(f"translate(v, '{large}', '{small}')", "email"), f"concat(array_join({cased}, ''), '@', substring_index(m, '@', -1))"
+    ))
     named = _let("n", f"regexp_extract(m, {_q('^' + _NAMED)}, 0)", _let(
         "v", "substr(m, length(n) + 1)",
         f"concat(n, if(v rlike '^[0-9a-f]+$', {k.text('v', 'hex', '6')}, {k.text('v', 'secret')}))"))
