@@ -7,7 +7,10 @@ smallest density on the path from that node up to the body: any other subtree wh
 threshold is content too, represented by its own node of the largest sum.
 
 Before that, what can't be article text is taken out by its tag, its role or the words of its class and id
-(menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles). If the
+(menus, headers, footers, sidebars, notices, adverts, forms, comments of readers, scripts and styles). A name, a form
+or a header is no proof, as it may belong to what surrounds the article: such an element stays if it holds the only
+``article`` or ``main`` of the page, or most of the page's plain text while hardly any is left for an article
+elsewhere (but not one named for comments of readers), and its parts are judged by themselves. If the
 chosen node lies in an ``article`` or ``main`` element, that element is taken whole, so its headings stay.
 
 The text of the chosen nodes comes in page order. Character references are decoded, white space within a block is
@@ -45,16 +48,22 @@ _CLOSES = {
 }
 _HOLDS = frozenset("ul ol dl table select body article section div main aside".split())
 _DROPPED = frozenset(
-    """head script style noscript template iframe object embed svg math canvas audio video nav footer aside form button select
+    """head script style noscript template iframe object embed svg math canvas audio video nav footer aside button select
     textarea input label menu dialog search""".split()
 )
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 _NAMES = frozenset("ad ads adv adbox adslot gdpr login menu menus modal nav pager promo promos reply share shares signup".split())
-#: Names that also count as the beginning or the end of a longer one.
+#: Names that also count as the end of a longer one, and as its beginning where it goes on with one of the tails.
 _LONG_NAMES = tuple(
     """advert adsense banner breadcrumb comment consent cookie discussion disqus footer masthead navbar navigation newsletter notice
     pagination popup promoted related replies respond sharing sidebar social sponsor subscri toolbar widget""".split()
 )
+_STEMS = ("advert", "sponsor", "subscri")
+_TAILS = frozenset("s ed area bar block body box button buttons container content feed form group header icon icons inner item items left link links list nav panel placeholder posts right row section tab text thread title top wrap wrapper".split())
+#: Comments of readers, which may be most of a page.
+_READERS = ("comment", "discussion", "disqus", "replies", "reply", "respond")
+#: A name behind one of these says what an element has, not what it is.
+_HAVING = frozenset("has have no not with without".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -63,34 +72,90 @@ _CLOSING = {name: re.compile(rf"</{name}\s*[^>]*>", re.IGNORECASE) for name in _
 
 
 class _Node:
-    __slots__ = ("tag", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "children", "chars", "tags", "link_chars", "link_tags", "density", "sum", "doubt")
 
     def __init__(self, tag: str):
-        self.tag, self.children = tag, []
+        self.tag, self.children, self.doubt = tag, [], ""
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _marks(word: str) -> bool:
-    plural = word.removesuffix("s")
-    return word in _NAMES or word.startswith(_LONG_NAMES) or word.endswith(_LONG_NAMES) or plural.endswith(_LONG_NAMES)
+def _mark(value: str) -> str:
+    """The first name in a class or id by which an element is no article text, or nothing."""
+    for token in value.split():
+        words = [word.lower() for word in _WORDS.findall(token)]
+        for k, word in enumerate(words):
+            if _HAVING.isdisjoint(words[:k]) and (word in _NAMES or _long_name(word)):
+                return word
+    return ""
 
 
-def _unwanted(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in _DROPPED or (tag == "header" and not inside_article):
+def _long_name(word: str) -> bool:
+    if word.endswith(_LONG_NAMES) or word.removesuffix("s").endswith(_LONG_NAMES) or word.startswith(_STEMS):
         return True
+    return any(word.startswith(name) and word[len(name) :] in _TAILS for name in _LONG_NAMES)
+
+
+def _unwanted(tag: str, attributes: str, inside_article: bool) -> str | None:
+    """Why an element is no article text: nothing, "" beyond doubt, or else the name that says so."""
+    if tag in _DROPPED:
+        return ""
     if not attributes or tag in ("body", "html", "article", "main"):
-        return False
+        return "header" if tag == "header" and not inside_article else "form" if tag == "form" else None
+    found = "header" if tag == "header" and not inside_article else "form" if tag == "form" else None
     for name, *values in _ATTRIBUTE.findall(attributes):
-        words, value = _WORDS.findall("".join(values)), "".join(values).lower()
-        name = name.lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in _ROLES):
-            return True
-        if name in ("class", "id") and any(_marks(word.lower()) for word in words):
-            return True
-        if name in ("class", "id") and not inside_article and "header" in value.split():
+        value, name = "".join(values), name.lower()
+        lower = value.lower()
+        if name == "hidden" or (name == "aria-hidden" and lower == "true") or (name == "role" and lower in _ROLES):
+            return ""
+        if name in ("class", "id"):
+            found = _mark(value) or found
+            if not inside_article and "header" in lower.split():
+                found = found or "header"
+    return found
+
+
+def _doubts_settled(root: _Node) -> _Node:
+    """Takes out marked elements, but for those that turn out to hold the article."""
+    order, pending = [], [(root, False, False)]
+    in_doubt, in_article = {}, {}
+    while pending:
+        node, doubt, article = pending.pop()
+        order.append(node)
+        in_doubt[id(node)] = doubt = doubt or node.doubt != ""
+        in_article[id(node)] = article = article or node.tag in ("article", "main")
+        linked = node.tag == "a" or node.link_tags > 0
+        for child in node.children:
+            if not isinstance(child, str):
+                child.link_tags = int(linked)  # for this pass: inside a link
+                pending.append((child, doubt, article))
+    plain, holds = {}, {}
+    outside = {False: 0, True: 0}  # plain text beyond doubt: out of articles and in them
+    articles = 0
+    for node in reversed(order):
+        own = 0 if node.link_tags or node.tag == "a" else sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        below = [c for c in node.children if not isinstance(c, str)]
+        plain[id(node)] = own + sum(plain[id(c)] for c in below)
+        holds[id(node)] = node.tag in ("article", "main") or any(holds[id(c)] for c in below)
+        if not in_doubt[id(node)]:
+            outside[in_article[id(node)]] += own
+            articles += node.tag in ("article", "main")
+        node.link_tags = 0
+    left = outside[True] if articles else outside[False]
+    total = plain[id(root)]
+
+    def stays(node: _Node) -> bool:
+        if not articles and holds[id(node)]:
             return True
-    return False
+        much = plain[id(node)]
+        return 2 * much > total and 4 * left < much and not node.doubt.startswith(_READERS)
+
+    pending = [root]
+    while pending:
+        node = pending.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or not c.doubt or stays(c)]
+        pending += [c for c in node.children if not isinstance(c, str)]
+    return root
 
 
 def _tree(page: str) -> _Node:
@@ -143,9 +208,11 @@ def _tree(page: str) -> _Node:
                 close(_CLOSES[tag], _HOLDS)
             node = _Node(tag)
             inside = open_tags["article"] + open_tags["main"] > 0
-            if skipped or _unwanted(tag, token[3], inside):
+            unwanted = "" if skipped else _unwanted(tag, token[3], inside)
+            if unwanted == "":
                 node.density = -1.0  # marks what is left out
             elif tag not in _RAW:
+                node.doubt = unwanted or ""
                 stack[-1].children.append(node)
             if tag in _RAW:
                 end = _CLOSING[tag].search(page, at)
@@ -250,7 +317,7 @@ def _blocks(node: _Node) -> list[str]:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    return "\n".join(block for node in _chosen(_tree(page)) for block in _blocks(node))
+    return "\n".join(block for node in _chosen(_doubts_settled(_tree(page))) for block in _blocks(node))
 
 
 def extract(pages: DataFrame, *, html_col: str = "html", out: str = "text") -> DataFrame:

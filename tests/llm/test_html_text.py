@@ -107,3 +107,55 @@ def test_columns_rows_and_nulls(spark):
         ["Row(page_id=1, text='x')", "Row(page_id=1, text='x')", "Row(page_id=None, text='')"]
     )
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+OWN = f"<h1>Title</h1><p>{LONG}</p><p>Short.</p>"
+WANT = f"Title\n{LONG.strip()}\nShort."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f'<form id="aspnetForm"><article>{OWN}</article></form>',
+        f'<form id="aspnetForm"><div><div>{OWN}</div></div></form>',
+        f'<div id="content-sidebar-wrap"><main>{OWN}</main></div>',
+        f'<div class="content has-sidebar"><article>{OWN}</article></div>',
+        f'<div class="post no-comments"><div>{OWN}</div></div>',
+        f'<div class="commentary"><div>{OWN}</div></div>',
+        f'<div class="noticeboard-post"><div>{OWN}</div></div>',
+        f'<div id="social-care-news"><div>{OWN}</div></div>',
+        f'<div class="elementor-widget-theme-post-content"><div>{OWN}</div></div>',
+        f'<article><div class="elementor-widget-theme-post-content">{OWN}</div></article>',
+        f'<div class="widget"><article>{OWN}</article><div class="sidebar"><p>{LONG}</p></div></div>',
+        f'<header class="page"><main>{OWN}</main></header>',
+    ],
+)
+@pytest.mark.parametrize("around", ["", "links", "comments"])
+def test_names_on_what_surrounds_an_article(page, around):
+    links = "".join(f'<li><a href="/{k}">Link {k} of the list</a></li>' for k in range(30))
+    extra = {"": "", "links": f'<div class="navbar"><ul>{links}</ul></div>', "comments": f'<div id="comments"><p>{LONG}</p></div>'}[around]
+    assert main_text(f"<body>{page}{extra}</body>") == WANT
+
+
+@pytest.mark.parametrize("inside", ["article", "div"])
+def test_more_comments_than_article(inside):
+    said = "".join(f"<div><p>{k} {LONG}</p></div>" for k in range(9))
+    for name in ("comments", "comment-list", "discussion", "commentlist"):
+        assert main_text(f'<body><{inside}>{OWN}</{inside}><div class="{name}">{said}</div></body>') == WANT
+
+
+def test_a_long_sidebar_beside_an_article():
+    more = "".join(f"<p>{k} {LONG}</p>" for k in range(2))
+    for name in ("sidebar", "widget", "related-posts", "social"):
+        assert main_text(f'<body><div class="{name}">{more}</div><article>{OWN}</article></body>') == WANT
+
+
+def test_teasers_in_marked_articles_give_way_to_the_one_outside():
+    teasers = "".join(f"<article><p>{LONG[:60]} {k}</p></article>" for k in range(5))
+    assert main_text(f'<body><div class="related">{teasers}</div><main>{OWN}</main></body>') == WANT
+
+
+def test_density_chooses_among_articles():
+    teasers = "".join(f'<article><a href="/{k}">{LONG[:80]}</a> <a href="/{k}">More</a></article>' for k in range(5))
+    for page in (f"{teasers}<article>{OWN}</article>", f"<article>{OWN}</article>{teasers}"):
+        assert main_text(f"<body>{page}</body>") == WANT
