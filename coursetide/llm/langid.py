@@ -17,7 +17,6 @@ learned. Equal estimates go to the language with more labelled rows, then to the
 from __future__ import annotations
 
 import functools
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,8 +26,9 @@ from pyspark.sql import functions as F
 #: Characters of labelled text per language and of all languages together, rows they are drawn from and
 #: what one row may give. All languages are learned: the more there are, the fewer characters of each, down to ``LEAST``.
 CHARS, ALL_CHARS, ROWS, ROW_CHARS, LEAST = 40_000, 600_000, 200, 4_000, 1_000
-#: Letters that a language's automaton knows, the most frequent ones; others end a phrase.
-LETTERS = 250
+#: Letters up to which one is one column of an automaton's table. Those of larger scripts are two signs each, a high and a
+#: low one of ``LOW`` kinds, and a match always ends with a whole letter: the same phrases, from a narrow table.
+SINGLE, LOW = 250, 64
 BLOCK, AT_ONCE = 512, 1 << 20
 UNKNOWN = "und"
 
@@ -70,18 +70,27 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
 
 
 class Automaton:
-    """All substrings of a text, as a table of states and letters.
+    """All substrings of a text, as a table of states and signs.
 
-    ``follow[state + letter]`` is the next state, or -1 where the match ends; states are
-    multiples of the table's width. Letter 0 is any that the table doesn't know.
+    ``follow[state + sign]`` is the next state, or -1 where the match ends; states are
+    multiples of the table's width. Letter and sign 0 are any that the text doesn't have.
     """
 
-    def __init__(self, text: str):
-        common = sorted(c for c, _ in Counter(text).most_common(LETTERS + 1))
+    def __init__(self, text: str, single: int = SINGLE):
+        common = sorted(set(text))
         self.letters = {c: k + 1 for k, c in enumerate(common)}
+        numbers = np.array([self.letters[c] for c in text], "i8")
+        every = np.arange(len(common) + 1)
+        if len(common) <= single:
+            self.high, self.low, signs = every, None, numbers
+        else:
+            highs = -(-len(common) // LOW)
+            self.high = np.where(every > 0, 1 + (every - 1) // LOW, 0)
+            self.low = np.where(every > 0, 1 + highs + (every - 1) % LOW, 0)
+            signs = np.stack((self.high[numbers], self.low[numbers]), axis=1).ravel()
         edges: list[dict[int, int]] = [{}]
         length, link, last = [0], [-1], 0
-        for c in map(self.letters.get, text, [0] * len(text)):
+        for c in signs.tolist():
             new = len(edges)
             edges.append({})
             length.append(length[last] + 1)
@@ -104,17 +113,23 @@ class Automaton:
                         at = link[at]
                     link[other] = link[new] = copy
             last = new
-        self.width = len(common) + 1
-        table = np.full((len(edges) + 1, self.width), -1, "i4")  # the last state has no way on
+        width = int(signs.max(initial=0)) + 1
+        table = np.full((len(edges) + 1, width), -1, "i4")  # the last state has no way on
         for state, ways in enumerate(edges):
             for c, to in ways.items():
-                if c:
-                    table[state, c] = to * self.width
+                table[state, c] = to * width
         self.follow = table.ravel()
-        self.nowhere = len(edges) * self.width
-        self.first = np.where(table[0] < 0, self.nowhere, table[0]).astype("i4")
+        self.nowhere = len(edges) * width
+        self.first = self._next(np.zeros(len(every), "i4"), every)
+        self.first[self.first < 0] = self.nowhere
         self.bits = np.log2(len(text) + 1)
 
+    def _next(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        to = self.follow[state + self.high[letter]]
+        if self.low is None:
+            return to
+        return self.follow[np.where(to < 0, self.nowhere, to) + self.low[letter]]
+
     def phrases(self, blocks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Number of phrases of each row of letters; rows stand by size, largest first."""
         count = np.zeros(len(blocks), "i4")
@@ -122,7 +137,7 @@ class Automaton:
         rows = np.searchsorted(-sizes, -np.arange(blocks.shape[1]), side="left")  # longer than the column's number
         for column, n in enumerate(rows.tolist()):
             letter = blocks[:n, column]
-            to = self.follow[state[:n] + letter]
+            to = self._next(state[:n], letter)
             ended = np.flatnonzero(to < 0)
             count[ended] += 1
             to[ended] = self.first[letter[ended]]

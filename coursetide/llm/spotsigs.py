@@ -3,8 +3,9 @@
 Every occurrence of an anchor starts a signature: the anchor and the next ``CHAIN`` content words, anchors
 between them being skipped. Content near many anchors is prose, so what is not prose hardly counts. The
 beginning of the text is an anchor too, and a chain that the text's end cuts off is kept as it is; so every text
-with a word has a signature, and equal texts have equal ones. Where no anchor comes for more than ``GAP`` content words, and in
-a text without any, each of these words starts a chain too: so other languages, lists and code count as a whole.
+with a word has a signature, and equal texts have equal ones. A content word that has no anchor among the ``GAP``
+content words before it starts a chain too, word by word however long the stretch is: so other languages, lists and
+code count as a whole.
 A text without words has none. Words are runs of letters and digits in lower case.
 
 A fingerprint is the sorted set of signatures, each a 64-bit hash, as text: 16 hexadecimal digits a
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from coursetide.llm.inputs import cut_lineage, few_at_once
 
 CHAIN = 2
-#: Content words without an anchor between them up to which only the anchor before them starts a chain.
+#: How far an anchor reaches, in content words; what is further behind it starts chains of its own.
 GAP = 16
 #: Common words of four languages.
 ANCHORS = frozenset(
@@ -59,9 +60,10 @@ def signatures(text: str, anchors: frozenset[str] = ANCHORS, chain: int = CHAIN)
         else:
             content.append(word)
     spots = [" ".join((anchor, *content[k : k + chain])) for anchor, k in zip(head, at, strict=True)]
+    reach = 0  # nothing stands before the beginning
     for k, end in zip(at, [*at[1:], len(content)], strict=True):
-        if end - k > GAP or len(at) == 1:
-            spots += [" ".join(("", *content[j : j + chain])) for j in range(k, end)]
+        spots += [" ".join(("", *content[j : j + chain])) for j in range(k + reach, end)]
+        reach = GAP
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, set(spots)), "u8")
     return np.unique(hashes)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 
 from coursetide.llm import langid
@@ -96,3 +97,41 @@ def test_all_of_many_languages_are_learned(spark):
     asked = [(k, " ".join(draw.choices(words[k], k=20))) for k in range(80)]
     got = langid.identify(documents(spark, asked), sample).collect()
     assert all(r.lang_pred == f"l{r.doc_id:02}" for r in got)
+
+
+def signs(seed, size, first, kinds):
+    """Text of a script with very many signs, in which neighbours follow each other more often than others."""
+    draw, at, out = random.Random(seed), 0, []
+    for _ in range(size):
+        at = (at + draw.choice((1, 1, 2, draw.randrange(kinds)))) % kinds
+        out.append(chr(first + at))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("single", [0, 5, 250])
+def test_large_scripts_are_parsed_like_small_ones(single):
+    """Over a thousand signs: all of them count, and two signs a letter give the phrases of one."""
+    known = signs(1, 4000, 0x4E00, 1500)
+    assert len(set(known)) > 1000
+    for text in (known, TEXTS[0]):
+        automaton = langid.Automaton(text, single)
+        assert len(automaton.letters) == len(set(text))
+        asked = [text[50:90] + text[10:30], signs(2, 300, 0x4E00, 1500), "x" + text[5:9] + "字", text[-3:] + text[:3]]
+        for other in asked:
+            letters = np.array([[automaton.letters.get(c, 0) for c in other]])
+            want, at = 0, 0
+            while at < len(other):
+                end = at + 1
+                while end <= len(other) and other[at:end] in text:
+                    end += 1
+                at, want = max(at + 1, end - 1), want + 1
+            assert automaton.phrases(letters, np.array([len(other)])).tolist() == [want]
+
+
+def test_languages_of_large_scripts_are_told_apart(spark):
+    first = {"zh": 0x4E00, "yue": 0x4E00 + 900, "ko": 0xAC00}
+    rows = [(100 * k + n, signs(100 * k + n, 300, f, 1500), lang) for k, (lang, f) in enumerate(first.items()) for n in range(60)]
+    sample = langid.learn(documents(spark, rows))
+    asked = [(k, signs(9000 + k, 80, f, 1500)) for k, f in enumerate(first.values())]
+    found = {r.doc_id: r.lang_pred for r in langid.identify(documents(spark, asked), sample).collect()}
+    assert found == dict(enumerate(first))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import re
 
 import pytest
+import xxhash
 
 from coursetide.llm import spotsigs
 
@@ -81,3 +84,34 @@ def test_all_of_a_text_without_anchors_counts():
     assert spotsigs.likeness(of("milk bread eggs"), of("milk bread soap")) < 1
     # nor does what stands behind a text's only anchors get lost
     assert spotsigs.likeness(of(f"the {text}"), of(f"the {other}")) < 0.02
+
+
+def by_hand(text):
+    """Each chain as it is worded: behind anchors, at the beginning, and at words out of an anchor's reach."""
+    words = re.findall(r"[^\W_]+", text.lower())
+    chains = set()
+    for k, word in enumerate(words):
+        content = [w for w in words[k:] if w not in spotsigs.ANCHORS]
+        if word in spotsigs.ANCHORS:
+            chains.add(" ".join([word, *content[:2]]))
+            continue
+        before = words[:k]
+        anchors = [j for j, w in enumerate(before) if w in spotsigs.ANCHORS]
+        if not anchors or len(before) - 1 - anchors[-1] >= spotsigs.GAP:
+            chains.add(" ".join(["", *content[:2]]))
+    if words:
+        chains.add(" ".join(["", *[w for w in words if w not in spotsigs.ANCHORS][:2]]))
+    return chains
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_signatures_are_the_chains_taken_by_hand(seed):
+    draw = random.Random(seed)
+    words = [draw.choice(["the", "of", "und", *(f"w{k}" for k in range(3 + 4 * seed))]) for _ in range(draw.randrange(300))]
+    want = sorted(xxhash.xxh3_64_intdigest(c) for c in by_hand(" ".join(words)))
+    assert spotsigs.signatures(" ".join(words)).tolist() == want
+
+
+def test_one_word_more_is_one_signature_more():
+    sizes = [len(spotsigs.signatures("the " + " ".join(f"w{k}" for k in range(n)))) for n in range(2, 60)]
+    assert {b - a for a, b in zip(sizes, sizes[1:], strict=False)} == {0, 1}
