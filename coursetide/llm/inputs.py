@@ -49,6 +49,12 @@ def few_at_once(
             first = end
 
 
+def one_text_each(drawn: DataFrame) -> DataFrame:
+    """One row of ``doc_id``, ``label`` and ``text`` per id, of several texts the one of the least hash."""
+    least = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
+    return drawn.groupBy("doc_id", "label").agg(least)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows, written to the shared checkpoint folder and read back.
 

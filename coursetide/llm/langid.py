@@ -46,7 +46,7 @@ def normalised(text: str) -> str:
 
 
 def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Sample:
-    """A bounded sample of the labelled rows of ``docs``, spread over them by a hash of the id.
+    """A bounded sample of the labelled rows of ``docs``, spread over them by a hash of id and text.
 
     A row gives ``ROW_CHARS`` characters at most, from a hashed place in its text.
     """
@@ -57,12 +57,14 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     limit = min(CHARS, max(LEAST, ALL_CHARS // max(1, len(counted))))
     rows_each, row_chars = max(30, ROWS * limit // CHARS), min(ROW_CHARS, limit)
     rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, rows_each / r["n"])) for r in counted], "lang string, rate double")
-    spread = F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20))
+    spread = F.pmod(F.xxhash64("doc_id", F.lit("lang"), "text"), F.lit(1 << 20))
     place = F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.length("text") - row_chars)).cast("int") + 1
     some = known.join(F.broadcast(rates), "lang").where(spread < F.col("rate") * (1 << 20))
-    drawn = some.select("doc_id", "lang", F.substr("text", place, F.lit(row_chars)).alias("text"))
+    drawn = some.select(F.xxhash64("doc_id", "text").alias("mix"), "lang", F.substr("text", place, F.lit(row_chars)).alias("text"))
     texts: dict[str, list[str]] = {}
-    for row in drawn.orderBy("doc_id", "text").collect():
+    # equal rows are one, so that neither repeats nor a constant id make the draw larger; sorted here, as a sort in
+    # Spark would run it twice, and by a hash, so that where it is cut does not follow the ids
+    for row in sorted(drawn.distinct().collect()):
         texts.setdefault(row["lang"], []).append(normalised(row["text"]))
     found = {k: " ".join(filter(None, v))[:limit] for k, v in texts.items()}
     names = tuple(row["lang"] for row in counted if found.get(row["lang"]))

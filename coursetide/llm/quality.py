@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coursetide.llm.inputs import few_at_once
+from coursetide.llm.inputs import few_at_once, one_text_each
 
 #: Labelled rows that may be used in learning, of each label at most, and preference pairs.
 SAMPLE, PAIRS = 3000, 60_000
@@ -125,8 +125,9 @@ def fit(rows: np.ndarray, labels: np.ndarray, pairs: int = PAIRS, steps: int = 3
 def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Ranking:
     """Learns from documents that have a label of 0 or 1; others are passed over.
 
-    At most ``sample`` rows a label are used, spread over the corpus by a hash of the id; the rate is set
-    from exact counts, so what reaches the driver is bounded at any size: features and not texts.
+    At most about ``sample`` rows a label are used, spread over the corpus by a hash of the id; the rate is set
+    from exact counts, and an id gives one row however often it occurs, so what reaches the driver is bounded at
+    any size: features and not texts.
     """
     known = labels.where(F.col(label).isin(0, 1)).select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label"))
     known = known.dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -137,8 +138,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < rate * (1 << 20))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # the draw sets the size of this side: about twice ``sample`` ids and labels, whatever the corpus
-    found = _featured(texts.join(F.broadcast(drawn), "doc_id"), ["doc_id", "label"]).select("doc_id", "label", "features")
-    rows = found.orderBy("doc_id", "features").collect()
+    some = one_text_each(texts.join(F.broadcast(drawn), "doc_id"))
+    found = _featured(some, ["doc_id", "label"]).select("doc_id", "label", "features")
+    rows = sorted(found.collect(), key=lambda r: r["doc_id"])  # here, as Spark would run the draw twice to sort it
     x = np.array([r["features"] for r in rows]).reshape(-1, len(FEATURES))
     return fit(x, np.array([r["label"] for r in rows]))
 

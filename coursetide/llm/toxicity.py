@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursetide.llm.inputs import cut_lineage, few_at_once, one_text_each
+
 #: Labelled rows used in learning, of label 1 and of label 0, at most about.
 TOXIC, CLEAN = 1500, 3000
 #: Entries of the learned lexicon, the strongest ones; evidence (G squared; about one in a million by chance) and
@@ -208,10 +210,11 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     rate = F.when(F.col("label") == 1, rates[1]).otherwise(rates[0])
     drawn = known.where(F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 20)) < rate * (1 << 20))
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(drawn), "doc_id")  # the draw sets the size of that side
+    # the draw sets the size of that side; an id gives one row however often it occurs, and the sample is read several times
+    sample = cut_lineage(one_text_each(texts.join(F.broadcast(drawn), "doc_id")))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_at_once(batches, "text"):
             rows: set[tuple[str, int, int]] = set()
             for label_, text_ in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = _WORD.findall(text_.lower())
@@ -228,7 +231,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
 
     met = sample.select("label", "text").mapInArrow(contexts, "entry string, context long, label int").distinct()
     by_entry = met.groupBy("entry").agg(F.count_if(F.col("label") == 1).alias("t"), F.count_if(F.col("label") == 0).alias("c"))
-    total = met.agg(F.count_if(F.col("label") == 1).alias("t"), F.count_if(F.col("label") == 0).alias("c")).first()
+    by_entry = cut_lineage(by_entry)
+    total = by_entry.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).first()
     if not total["t"] or not total["c"]:
         return Model((), ())
     share = total["t"] / (total["t"] + total["c"])
