@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import coursetide as ct
 from coursetide.fixtures import as_records, lms_events, stray_records
-from coursetide.schemas import EVENT_TYPES, PAYLOAD
+from coursetide.schemas import EVENT_TYPES, PAYLOAD, SKETCHES
 from coursetide.session import scratch_dir
 
 try:  # the operators for training data are a part that can be left out
@@ -399,6 +399,20 @@ def health_status_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ct.pipeline_health_of(ct.merge_states(states), ct.distinct_counts(bitmaps))
 
 
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of a range of days from their stored sketches: what is exact in them, which distinct values are up to some
+    hundreds; tests hold the estimates against exact figures."""
+    path = scratch_dir(spark, "sketches")
+    bronze = _bronze(spark, sf_dir)
+    days = [r.event_date for r in bronze.select("event_date").distinct().collect()]
+    ct.publish_days(ct.day_sketches(bronze), path, days)
+    profile = ct.profile_of(ct.merge_sketches(ct.read_days(spark, path, SKETCHES), *RANGE))
+    few = F.col("column_name").isin("event_type", "course_id", "video_id")
+    return profile.select(
+        "column_name", "records", "nulls", "least", "greatest", F.when(few, F.col("distinct_values")).alias("distinct_values")
+    )
+
+
 # --- extracts -------------------------------------------------------------------------
 
 
@@ -473,6 +487,7 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         distinct_counts_range,
         distinct_counts_by_day,
         health_status_states,
+        profile_sketches,
         kpi_csv_roundtrip,
         kpi_csv_videos,
         kpi_csv_completion,
@@ -713,6 +728,24 @@ GROUP BY course_id ORDER BY "count" DESC, course_id LIMIT 10""",
         "most_watched_videos_states": _LMS + _VIDEOS.replace("WHERE", f"WHERE {in_range} AND"),
         "distinct_counts_range": _LMS + _distinct_sql(f"FROM lms WHERE {in_range}", ""),
         "distinct_counts_by_day": _LMS + _STRAYS + _distinct_sql("FROM strays", "event_date"),
+        "profile_sketches": _LMS
+        + " UNION ALL ".join(
+            f"""
+SELECT '{name}' AS column_name, count(*) AS records, count(*) - count({name}) AS nulls,
+  {f"CAST(min({name}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS least,
+  {f"CAST(max({name}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS greatest,
+  {f"count(DISTINCT {name})" if name in ("event_type", "course_id", "video_id") else "CAST(NULL AS BIGINT)"} AS distinct_values
+FROM lms WHERE {in_range}"""
+            for name, number in (
+                ("event_type", False),
+                ("user_id", False),
+                ("course_id", False),
+                ("video_id", False),
+                ("score", True),
+                ("watch_seconds", True),
+                ("timestamp_ms", True),
+            )
+        ),
         "health_status_states": _LMS + _STRAYS + _SILVER + _health_sql("strays"),
         "kpi_csv_roundtrip": _LMS + f" {stamped} ({_QUIZ_SCORES})",
         "kpi_csv_videos": _LMS + f" {stamped} ({_VIDEOS})",

@@ -15,6 +15,7 @@ from .sources import (
     publish_days,
     read_bronze,
     read_compacted,
+    read_days,
     read_numbers,
     read_silver,
     replay_records,
@@ -41,6 +42,7 @@ __all__ = [
     "read_bronze",
     "read_compacted",
     "read_day_tables",
+    "read_days",
     "read_numbers",
     "read_silver",
     "refresh_day_tables",

@@ -12,6 +12,7 @@ from .kpis import (
     top_courses,
 )
 from .silver import user_progress, user_progress_between, user_progress_on
+from .sketches import day_sketches, merge_sketches, profile_of
 from .states import (
     avg_quiz_score_per_course_of,
     bronze_states,
@@ -34,6 +35,7 @@ __all__ = [
     "completed_users",
     "course_completion",
     "day_bitmaps",
+    "day_sketches",
     "day_states",
     "decode_records",
     "distinct_by_day",
@@ -44,6 +46,7 @@ __all__ = [
     "events_by_type_of",
     "field_of_rest",
     "freshness",
+    "merge_sketches",
     "merge_states",
     "missing_event_types",
     "most_watched_videos",
@@ -51,6 +54,7 @@ __all__ = [
     "parse_events",
     "pipeline_health",
     "pipeline_health_of",
+    "profile_of",
     "silver_kpis",
     "silver_kpis_of",
     "silver_states",

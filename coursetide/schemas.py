@@ -119,3 +119,15 @@ VERSIONS = _fields(event_date="date", folder="string", source="string", version=
 
 # The batch that a stream has worked off last.
 FINISHED = _fields(query_id="string", batch_id="long")
+
+# Sketches of a day's columns.
+SKETCHES = _fields(
+    event_date="date",
+    column_name="string",
+    records="long",
+    nulls="long",
+    least="double",
+    greatest="double",
+    distinct="binary",
+    quantiles="binary",
+)
