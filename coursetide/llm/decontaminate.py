@@ -116,23 +116,18 @@ def contaminated(
     hits = functools.reduce(DataFrame.unionAll, map(met, sizes), none)
     # runs of positions that hold enough of an item's shingles for a window over them
     placed = hits.groupBy("doc_id", "text_hash", "item", "a", "b", "need").agg(F.sort_array(F.collect_set("pos")).alias("p"))
-    runs = (
-        placed.where("b >= a and size(p) >= need")
-        .withColumn(
-            "start",
-            F.explode(
-                F.expr(
-                    "array_distinct(flatten(transform(filter(sequence(0, size(p) - need), "
-                    "i -> p[i + need - 1] - p[i] < a), "
-                    "i -> sequence(greatest(0, p[i + need - 1] - a + 1), p[i]))))"
-                )
-            ),
-        )
-        .select("doc_id", "text_hash", "item", "start")
+    starts = F.when(
+        F.expr("b >= a and size(p) >= need"),
+        F.expr(
+            "array_distinct(flatten(transform(filter(sequence(0, size(p) - need), "
+            "i -> p[i + need - 1] - p[i] < a), "
+            "i -> sequence(greatest(0, p[i + need - 1] - a + 1), p[i]))))"
+        ),
     )
     if short:  # b shingles share at least t (a + b) / (1 + t) with the item's a
-        whole = placed.where(f"b < a and size(p) >= {threshold / (1 + threshold)!r} * (a + b) - 1e-9")
-        runs = runs.unionAll(whole.select("doc_id", "text_hash", "item", F.lit(0).alias("start")))
+        enough = F.expr(f"b < a and size(p) >= {threshold / (1 + threshold)!r} * (a + b) - 1e-9")
+        starts = starts.when(enough, F.array(F.lit(0)))
+    runs = placed.select("doc_id", "text_hash", "item", F.explode(starts).alias("start"))
     runs = cut_lineage(runs)
     keys, any_left = _near(runs.select("doc_id", "text_hash").distinct())
     found_in = rows.join(keys, [rows.doc_id.eqNullSafe(keys.doc_id), rows.text_hash == keys.text_hash], "left_semi")
