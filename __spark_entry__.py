@@ -106,6 +106,16 @@ def bronze_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gaps and repeats of each log partition after a replay that begins and ends in the middle of two of them."""
+    folder = scratch_dir(spark, "offsets")
+    log = as_records(_bronze(spark, sf_dir)).unionByName(stray_records(spark, sf_dir))
+    log.repartition(spark.sparkContext.defaultParallelism).write.parquet(f"{folder}/log")
+    records = ct.replay_records(spark, f"{folder}/log", starting_offsets={0: 500}, ending_offsets={1: 2000})
+    ct.ingest(records, f"{folder}/bronze", f"{folder}/checkpoint", catch_up=True).awaitTermination()
+    return ct.offset_gaps(ct.read_bronze(spark, f"{folder}/bronze")).withColumnRenamed("partition", "log_partition")
+
+
 def bronze_left_over(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the schema leaves over of every record, through the stream and the stored table.
 
@@ -450,6 +460,7 @@ def analytics_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         bronze_parse_strays,
         bronze_stream_replay,
         bronze_keys,
+        bronze_offsets,
         bronze_left_over,
         bronze_compacted,
         daily_run,
@@ -656,6 +667,14 @@ def oracle_sql() -> dict[str, str]:
         "bronze_parse": _LMS + " SELECT * FROM lms",
         "bronze_parse_strays": with_strays,
         "bronze_stream_replay": with_strays,
+        "bronze_offsets": _LMS
+        + _STRAYS
+        + """
+SELECT log_partition, min(log_offset) AS first_offset, max(log_offset) AS last_offset, count(*) AS records,
+  max(log_offset) - min(log_offset) + 1 - count(DISTINCT log_offset) AS missing,
+  count(*) - count(DISTINCT log_offset) AS repeated
+FROM strays WHERE (log_partition <> 0 OR log_offset >= 500) AND (log_partition <> 1 OR log_offset < 2000)
+GROUP BY log_partition""",
         "bronze_compacted": with_strays,
         "bronze_keys": _LMS
         + " SELECT user_id AS message_key, NULL AS message_sha256, log_partition, log_offset FROM lms"

@@ -1,6 +1,13 @@
 from .bronze import decode_records, field_of_rest, parse_events
 from .distincts import COUNTED, day_bitmaps, distinct_by_day, distinct_counts
-from .health import freshness, missing_event_types, pipeline_health, table_profile
+from .health import (
+    freshness,
+    missing_event_types,
+    offset_gaps,
+    pipeline_health,
+    require_no_gaps,
+    table_profile,
+)
 from .kpis import (
     avg_quiz_score_per_course,
     completed_users,
@@ -51,10 +58,12 @@ __all__ = [
     "missing_event_types",
     "most_watched_videos",
     "most_watched_videos_of",
+    "offset_gaps",
     "parse_events",
     "pipeline_health",
     "pipeline_health_of",
     "profile_of",
+    "require_no_gaps",
     "silver_kpis",
     "silver_kpis_of",
     "silver_states",

@@ -65,6 +65,47 @@ def _distinct(table: DataFrame, column: str) -> Column:
     return table.select(column).distinct().select(F.count(F.lit(1))).scalar()
 
 
+def offset_gaps(records: DataFrame) -> DataFrame:
+    """A row per log partition: its first and last offset, records, how many offsets between are missing and how many
+    records repeat an offset. Works on raw records and on bronze; records without an offset are left out.
+
+    Offsets are or-ed to bitmaps of 32,768 before the shuffle, so a partition that holds most records is combined in
+    all tasks, and no offset is shuffled by itself.
+    """
+    bits = (
+        records.where("offset is not null")
+        .groupBy("partition", F.bitmap_bucket_number("offset").alias("bucket"))
+        .agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("offset")).alias("bits"),
+            F.count(F.lit(1)).alias("records"),
+            F.min("offset").alias("first"),
+            F.max("offset").alias("last"),
+        )
+    )
+    met = bits.groupBy("partition").agg(
+        F.min("first").alias("first_offset"),
+        F.max("last").alias("last_offset"),
+        F.sum("records").alias("records"),
+        F.sum(F.bitmap_count("bits")).alias("offsets"),
+    )
+    return met.select(
+        "partition",
+        "first_offset",
+        "last_offset",
+        "records",
+        (F.col("last_offset") - F.col("first_offset") + 1 - F.col("offsets")).alias("missing"),
+        (F.col("records") - F.col("offsets")).alias("repeated"),
+    )
+
+
+def require_no_gaps(records: DataFrame) -> None:
+    """Raise if an offset between the first and the last of a log partition is missing."""
+    lost = offset_gaps(records).where("missing > 0").orderBy("partition").limit(10).collect()
+    if lost:
+        told = ", ".join(f"{r.missing} of partition {r.partition} between {r.first_offset} and {r.last_offset}" for r in lost)
+        raise LookupError(f"missing offsets: {told}")
+
+
 def table_profile(df: DataFrame) -> DataFrame:
     """One row per column, with its type and the row count of the table."""
     columns = F.array(

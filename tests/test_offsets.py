@@ -1,0 +1,63 @@
+"""Offsets that a replay begins and ends with, and gaps in what was read."""
+
+from __future__ import annotations
+
+import pytest
+
+import coursetide as ct
+
+from .rows import event, record, records_of
+
+
+def log(spark, *places):
+    return records_of(spark, [record(event(f"{p}-{o}"), partition=p, offset=o) for p, o in places])
+
+
+def gaps(df):
+    return {r.partition: tuple(r)[1:] for r in ct.offset_gaps(df).collect()}
+
+
+def test_gaps_and_repeats(spark):
+    df = log(spark, (0, 5), (0, 6), (0, 9), (0, 9), (1, 0), (1, 1), (2, 70_000), (2, 3), (3, 8))
+    assert gaps(df) == {
+        0: (5, 9, 4, 2, 1),
+        1: (0, 1, 2, 0, 0),
+        2: (3, 70_000, 2, 69_996, 0),
+        3: (8, 8, 1, 0, 0),
+    }
+    assert gaps(ct.parse_events(df)) == gaps(df)
+    assert gaps(df.limit(0)) == {}
+
+
+def test_offsets_at_the_borders_of_bitmaps(spark):
+    borders = [k for n in (1, 2, 3) for k in (n * 32_768 - 1, n * 32_768, n * 32_768 + 1)]
+    df = log(spark, *((0, o) for o in [0, 1, *borders]))
+    assert gaps(df)[0] == (0, borders[-1], 11, borders[-1] + 1 - 11, 0)
+
+
+def test_a_gap_is_an_error(spark):
+    ct.require_no_gaps(log(spark, (0, 1), (0, 2), (1, 7)))
+    with pytest.raises(LookupError, match="1 of partition 0 between 1 and 3"):
+        ct.require_no_gaps(log(spark, (0, 1), (0, 3), (1, 7)))
+
+
+def test_no_offset_is_shuffled(spark):
+    plan = ct.offset_gaps(log(spark, (0, 1)))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 2 and "partial_bitmap_construct_agg" in plan
+
+
+@pytest.mark.parametrize(
+    ("first", "end", "want"),
+    [
+        (None, None, {(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)}),
+        ({0: 2}, None, {(0, 2), (0, 3), (1, 1), (1, 2)}),
+        ({0: 2, 1: 9}, {0: 3}, {(0, 2)}),
+        ({}, {1: 2}, {(0, 1), (0, 2), (0, 3), (1, 1)}),
+    ],
+)
+def test_a_replay_between_offsets(spark, tmp_path, first, end, want):
+    path, bronze = str(tmp_path / "log"), str(tmp_path / "bronze")
+    log(spark, (0, 1), (0, 2), (0, 3), (1, 1), (1, 2)).write.parquet(path)
+    records = ct.replay_records(spark, path, starting_offsets=first, ending_offsets=end)
+    ct.ingest(records, bronze, str(tmp_path / "checkpoint"), catch_up=True).awaitTermination()
+    assert {(r.partition, r.offset) for r in ct.read_bronze(spark, bronze).collect()} == want
