@@ -17,12 +17,16 @@ learned. Equal estimates go to the language with more labelled rows, then to the
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursetide.llm.inputs import few_at_once
+
 #: Characters of labelled text per language and of all languages together, rows they are drawn from and
 #: what one row may give. All languages are learned: the more there are, the fewer characters of each, down to ``LEAST``.
 CHARS, ALL_CHARS, ROWS, ROW_CHARS, LEAST = 40_000, 600_000, 200, 4_000, 1_000
@@ -218,13 +222,16 @@ def _model(sample: Sample) -> Model:
 def identify(docs: DataFrame, sample: Sample, *, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``docs`` with the predicted language and a score of 0 to 1; columns of these names are replaced."""
 
-    @F.pandas_udf("lang string, score double")
-    def predicted(texts):
-        import pandas as pd
+    kept = [c for c in docs.columns if c not in (lang, score)]
+    known = docs.select(*(F.col(f"`{c}`") for c in kept))
+    # a text in a column that is replaced is sent along beside the others
+    rows = known if text in kept else docs.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{text}`").alias("\0text"))
+    at = rows.columns.index(text if text in kept else "\0text")
 
-        names, scores = _model(sample).predict(texts.tolist())
-        return pd.DataFrame({"lang": names, "score": scores})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_at_once(batches, at, AT_ONCE):
+            names, scores = _model(sample).predict(batch.column(at).to_pylist())
+            found = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *found], [*kept, lang, score])
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (lang, score)]
-    found = docs.select(*kept, predicted(F.col(text)).alias("\0found"))
-    return found.select(*kept, F.col("`\0found`.lang").alias(lang), F.col("`\0found`.score").alias(score))
+    return rows.mapInArrow(run, known.withColumns({lang: F.lit(""), score: F.lit(0.0)}).schema)

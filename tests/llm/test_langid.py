@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from coursetide.llm import langid
 
@@ -135,3 +136,10 @@ def test_languages_of_large_scripts_are_told_apart(spark):
     asked = [(k, signs(9000 + k, 80, f, 1500)) for k, f in enumerate(first.values())]
     found = {r.doc_id: r.lang_pred for r in langid.identify(documents(spark, asked), sample).collect()}
     assert found == dict(enumerate(first))
+
+
+def test_a_text_in_a_column_that_is_replaced(spark):
+    sample = langid.Sample(("en", "de"), TEXTS)
+    docs = documents(spark, [(1, "der hund")]).select("doc_id", F.col("text").alias("score"))
+    [r] = langid.identify(docs, sample, text="score").collect()
+    assert (r.doc_id, r.lang_pred) == (1, "de") and r.score > 0.5
