@@ -162,11 +162,17 @@ def _featured(docs: DataFrame, kept: list[str]) -> DataFrame:
 def score(docs: DataFrame, ranking: Ranking, *, text: str = "text", out: str = "score") -> DataFrame:
     """All columns of ``docs`` and the score, 0 to 1, of the whole text; a column of that name is replaced."""
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
+    kept = [c for c in docs.columns if c != out]
+    known = docs.select(*(F.col(f"`{c}`") for c in kept))
+    # a text in a column that is replaced is sent along beside the others
+    rows = known if text in kept else docs.select(*known.columns, F.col(f"`{text}`").alias("\0text"))
+    at = rows.columns.index(text if text in kept else "\0text")
 
-        rows = [features(t or "") for t in texts]
-        return pd.Series(ranking.scores(np.array(rows).reshape(-1, len(FEATURES))))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in few_at_once(batches, at):
+            found = [features(t.as_py() or "") for t in batch.column(at)]
+            scores = ranking.scores(np.array(found).reshape(-1, len(FEATURES)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(scores, pa.float64())], [*kept, out])
 
-    return docs.withColumn(out, scored(F.col(text)))
+    scored = rows.mapInArrow(run, known.withColumn(out, F.lit(0.0)).schema)
+    return scored.select(*(F.col(f"`{c}`") for c in dict.fromkeys([*docs.columns, out])))
